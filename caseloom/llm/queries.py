@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import chat, topk
+from . import chat, license, topk
 
 QUERIES = {
+    "op3_license_scan": license.op3,
     "op4_exact_topk": topk.op4,
     "op5_chat_formatting": chat.op5,
 }
 
 ORACLE_SQL = {
+    "op3_license_scan": license.OP3_SQL,
     "op4_exact_topk": topk.OP4_SQL,
     "op5_chat_formatting": chat.OP5_SQL,
 }
