@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, license, topk
+from . import bpe, chat, license, packing, topk
 
 QUERIES = {
+    "op1_packing": packing.op1,
+    "op2_byte_bpe": bpe.op2,
     "op3_license_scan": license.op3,
     "op4_exact_topk": topk.op4,
     "op5_chat_formatting": chat.op5,
