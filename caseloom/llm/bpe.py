@@ -9,8 +9,11 @@
    document, and decoded through the table of token bytes.
 
 What is shuffled is the distinct words of each block and the codes, packed and
-compressed, in place of one row per pre-token. The blocks are checkpointed, so
-both branches see the same codes whatever is run again.
+compressed, in place of one row per pre-token. Words and codes are made by two
+passes over the documents, which costs less than keeping the codes on disk twice. A
+block is named by its place and a checksum of its words in order; should a source
+not give its rows in the same order twice, the names differ and the query fails
+rather than mixing them (checkpoint such a source first).
 
 Defined results: a null text is an empty text (no ids); repeated rows and ids
 each give a row; a null id is kept; an empty table gives no rows; other columns
@@ -30,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table
+from .common import table
 from .tokens import _BEYOND_LATIN, SPACES, ranks
 
 #: Characters of text in one block, unless one document has more.
@@ -135,7 +138,7 @@ def _bucketed(words: list[bytes], buckets: int) -> dict[int, tuple[np.ndarray, l
 
 
 def _deal(pattern: str, buckets: int):
-    """Blocks: one row with the documents' codes (bucket -1), one per bucket with its words."""
+    """Blocks: one row per bucket with its words, or, without buckets, one row with the documents' codes."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter, part = Cutter(pattern), TaskContext.get().partitionId()
@@ -143,14 +146,12 @@ def _deal(pattern: str, buckets: int):
 
         def flush() -> pd.DataFrame:
             nonlocal number, ids, lengths, stream, codes, size
-            name = f"{part}-{number}"
+            words = [w.encode("utf-8", "surrogatepass") for w in codes]
+            name = f"{part}-{number}-{zlib.crc32(b' '.join(words))}"
             known = np.array([i is not None for i in ids], np.uint32)
             keys = np.array([0 if i is None else i for i in ids], np.int64).view(np.uint64)
             docs = _pack(np.frombuffer(stream, np.uint32), np.array(lengths, np.uint32), known, (keys & 0xFFFFFFFF).astype(np.uint32), (keys >> np.uint64(32)).astype(np.uint32))
-            words = [w.encode("utf-8", "surrogatepass") for w in codes]
-            rows = [(name, -1, None, docs)]
-            for b, (mine, list_) in _bucketed(words, buckets).items():
-                rows.append((name, b, _pack(mine), _pack_words(list_)))
+            rows = [(name, b, _pack(mine), _pack_words(list_)) for b, (mine, list_) in _bucketed(words, buckets).items()] if buckets else [(name, -1, None, docs)]
             number, ids, lengths, stream, codes, size = number + 1, [], [], array("I"), _Codes(), 0
             return pd.DataFrame(rows, columns=["block", "bucket", "part", "docs"])
 
@@ -214,10 +215,12 @@ def _rejoin(path: str):
 
     def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         if docs.empty:
-            return pd.DataFrame(columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            raise ValueError("the source gave its rows in another order the second time; checkpoint it first")
         stream, lengths, known, low, high = _unpack(docs["docs"].iloc[0])
         parts = [_unpack(p) for p in words["part"]]
         size = sum(len(p[0]) for p in parts)
+        if size != (int(stream.max()) + 1 if len(stream) else 0):
+            raise ValueError("the source gave its rows in another order the second time; checkpoint it first")
         counts = np.zeros(size, np.int64)
         first = np.zeros(size, np.int64)
         at = 0
@@ -246,9 +249,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = max(LEAST_BUCKETS, BUCKETS_PER_PART * src.rdd.getNumPartitions())
-    dealt = checkpointed(src.mapInPandas(_deal(pattern, buckets), _DEALT))
-    ids = dealt.where("bucket >= 0").groupBy("bucket").applyInPandas(_encode(path), _IDS)
-    blocks = dealt.where("bucket < 0")
+    ids = src.mapInPandas(_deal(pattern, buckets), _DEALT).groupBy("bucket").applyInPandas(_encode(path), _IDS)
+    blocks = src.mapInPandas(_deal(pattern, 0), _DEALT).select("block", "docs")
     return blocks.groupBy("block").cogroup(ids.groupBy("block")).applyInPandas(_rejoin(path), _OUT)
 
 
