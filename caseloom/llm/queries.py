@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprint, license, packing, topk
+from . import bpe, chat, fingerprint, license, neardup, packing, topk
 
 QUERIES = {
     "op1_packing": packing.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_license_scan": license.op3,
     "op4_exact_topk": topk.op4,
     "op5_chat_formatting": chat.op5,
+    "op10_neardup": neardup.op10,
     "op9_fingerprints": fingerprint.op9,
 }
 
