@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprint, license, neardup, packing, topk
+from . import bpe, chat, fingerprint, license, neardup, packing, quality, topk
 
 QUERIES = {
     "op1_packing": packing.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_exact_topk": topk.op4,
     "op5_chat_formatting": chat.op5,
     "op10_neardup": neardup.op10,
+    "op6_quality": quality.op6,
     "op9_fingerprints": fingerprint.op9,
 }
 
