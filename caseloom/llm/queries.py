@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprint, license, neardup, packing, quality, topk
+from . import bpe, chat, fingerprint, language, license, neardup, packing, quality, topk
 
 QUERIES = {
     "op1_packing": packing.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_chat_formatting": chat.op5,
     "op10_neardup": neardup.op10,
     "op6_quality": quality.op6,
+    "op7_language": language.op7,
     "op9_fingerprints": fingerprint.op9,
 }
 
