@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, fingerprint, language, license, neardup, packing, quality, topk
+from . import bpe, chat, fingerprint, language, license, neardup, packing, pages, quality, topk
 
 QUERIES = {
     "op1_packing": packing.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op10_neardup": neardup.op10,
     "op6_quality": quality.op6,
     "op7_language": language.op7,
+    "op8_html": pages.op8,
     "op9_fingerprints": fingerprint.op9,
 }
 
