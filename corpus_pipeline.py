@@ -1,16 +1,50 @@
-"""The corpus pipeline: quality, language, near-duplicates, packing."""
+"""The corpus pipeline: quality, language, near-duplicates, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
+kept; all but the last return rows of documents, whole and unchanged, whatever
+their columns. An empty input passes through every stage as no rows.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from caseloom.llm import language, neardup, packing, quality
+from caseloom.llm.common import checkpointed, table
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under the threshold go; without labels all score 0.5 and stay."""
+    return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no known language go: no letters, a null text, or no language ahead of the others."""
+    return language.accepted(docs, language.fit(docs))
+
+
+def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near-duplicates the document of least id stays. Rows of one id stay or go together; rows without an id stay."""
+    found = neardup.linked_components(docs)
+    gone = checkpointed(found.where("NOT kept").select("doc_id").distinct())
+    few = gone.count() <= neardup.BROADCAST_IDS
+    return docs.join(gone.hint("broadcast") if few else gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their places in sequences."""
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality", quality_stage), ("language", language_stage), ("neardup", neardup_stage), ("packing", packing_stage)]
+#: SQL has neither the models nor the packing; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages, in order, to the documents table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = checkpointed(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
