@@ -46,7 +46,7 @@ BANDS = M // ROWS
 #: Standard deviations of the estimate that a pair may lie below the threshold and still be verified.
 SLACK = 4.5
 #: Members of a bucket compared in one task, on either side.
-TILE = 4096
+TILE = 1024
 #: Partners per component that the first comparison of a bucket's minor members keeps.
 LIKELY = 3
 #: Ids (of 8 bytes) up to which the texts in doubt are found by a broadcast; beyond, by a shuffle.
@@ -111,11 +111,13 @@ def hopeful(n_a: np.ndarray, n_b: np.ndarray, regs_a: np.ndarray, regs_b: np.nda
     """The estimate where a pair may reach the threshold, else -1."""
     fits = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
     est = np.full(len(n_a), -1.0)
+    t = percent / 100
+    least = t - SLACK * math.sqrt(t * (1 - t) / M)
     i = np.flatnonzero(fits)
+    i = i[(regs_a[i] == regs_b[i]).sum(1) >= least * M]  # registers are equal with a chance of the similarity or more
     if len(i):
         est[i] = estimated(n_a[i].astype(float), n_b[i].astype(float), (regs_a[i] > regs_b[i]).sum(1), (regs_a[i] < regs_b[i]).sum(1))
-    t = percent / 100
-    est[est < t - SLACK * math.sqrt(t * (1 - t) / M)] = -1
+    est[est < least] = -1
     return est
 
 
@@ -152,24 +154,72 @@ def _kept_pairs(percent: int):
     return run
 
 
+def _codes(column: pa.Array) -> np.ndarray:
+    """Digests as pairs of integers."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, 2)
+
+
 def _tile_pairs(percent: int, likely: int | None):
-    """A tile: its minor members (left) against all its members (right), across components."""
-
-    def run(minor: pd.DataFrame, all_: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(minor) and len(all_):
-            regs, n, comp, keys = _regs(all_["regs"]), all_["n"].to_numpy(), all_["comp"].to_numpy(), all_["key"].to_numpy()
-            for key, c, size, r in zip(minor["key_"], minor["comp_"], minor["n_"], _regs(minor["regs_"]), strict=True):
-                i = np.flatnonzero(comp != c)
-                est = hopeful(np.full(len(i), size), n[i], np.broadcast_to(r, (len(i), M)), regs[i], percent)
-                i, est = i[est >= 0], est[est >= 0]
-                if likely is not None and len(i):
-                    best: dict[bytes, list] = {}
-                    for j in i[np.argsort(-est, kind="stable")]:
-                        best.setdefault(comp[j], []).append(j)
-                    i = [j for group in best.values() for j in group[:likely]]
-                out += [(min(key, keys[j]), max(key, keys[j])) for j in i]
-        return pd.DataFrame(out, columns=["a", "b"])
+    """Tiles, each a run of rows with its minor members (side 1) first: those against all its members, across components.
+
+    ``cut`` tells whether a pair's component had more partners than were kept.
+    """
+    empty = pa.RecordBatch.from_pylist([], schema=pa.schema([("a", pa.binary()), ("b", pa.binary()), ("cut", pa.bool_())]))
+
+    def compared(t: pa.Table) -> pa.RecordBatch:
+        run = np.stack([t.column(c).to_numpy() for c in ("bucket", "tile", "part")], 1)
+        side, n = t.column("side").to_numpy(), t.column("n").to_numpy()
+        new = np.concatenate(([True], (run[1:] != run[:-1]).any(1)))
+        first = np.flatnonzero(new)
+        which = np.cumsum(new) - 1
+        minor = np.bincount(which, side, len(first)).astype(np.int64)
+        size = np.diff(np.append(first, len(new)))
+        left = np.flatnonzero(side == 1)
+        count = (size - minor)[which[left]]
+        start = (first + minor)[which[left]]
+        keys = t.column("key").combine_chunks().to_pylist()
+        comp = _codes(t.column("comp").combine_chunks())
+        regs = np.frombuffer(b"".join(t.column("regs").combine_chunks().to_pylist()), np.uint8).reshape(-1, M)
+        ends = np.cumsum(count)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        at = 0
+        while at < len(left):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 100_000, "right")))
+            c = count[at:to]
+            i = np.repeat(left[at:to], c)
+            j = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) + np.repeat(start[at:to], c)
+            apart = (comp[i] != comp[j]).any(1)
+            i, j = i[apart], j[apart]
+            est = hopeful(n[i], n[j], regs[i], regs[j], percent)
+            good = est >= 0
+            found.append((i[good], j[good], est[good]))
+            at = to
+        i, j, est = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        if not len(i):
+            return empty
+        f = pd.DataFrame({"i": i, "c0": comp[j, 0], "c1": comp[j, 1], "j": j, "est": est}).sort_values(["i", "c0", "c1", "est"], ascending=[True, True, True, False], kind="stable")
+        group = f.groupby(["i", "c0", "c1"], sort=False)
+        cut = group["j"].transform("size").to_numpy() > (likely or len(f))
+        kept = group.cumcount().to_numpy() < (likely or len(f))
+        rows = [(min(keys[x], keys[y]), max(keys[x], keys[y])) for x, y in zip(f["i"][kept], f["j"][kept], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array(cut[kept])], names=["a", "b", "cut"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([*held, batch])
+            last = [t.column(c)[-1].as_py() for c in ("bucket", "tile", "part")]
+            same = np.ones(t.num_rows, bool)
+            for c, v in zip(("bucket", "tile", "part"), last, strict=True):
+                same &= t.column(c).to_numpy() == v
+            whole = t.num_rows - int(same.sum())  # the last run may go on in the next batch
+            if whole:
+                yield compared(t.slice(0, whole))
+            held = t.slice(whole).combine_chunks().to_batches()
+        if held:
+            yield compared(pa.Table.from_batches(held))
 
     return run
 
@@ -250,16 +300,17 @@ def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     names = reps.select("key", F.col("doc_id").alias("row_id"))
     tested = checkpointed(pairs)
     links = checkpointed(_verified(tested, names, texts, width, percent))
+    comp = None if links.isEmpty() else components(links)
     for likely in (LIKELY, None):
-        comp = components(links) if not links.isEmpty() else None
-        more = _across(crowded, reps, comp, percent, likely).join(tested, ["a", "b"], "left_anti")
-        more = checkpointed(more)
+        found = _across(crowded, reps, comp, percent, likely)
+        more = checkpointed(found.groupBy("a", "b").agg(F.max("cut").alias("cut")).join(tested, ["a", "b"], "left_anti"))
         if more.isEmpty():
             break
-        tested = tested.unionByName(more)
-        links = checkpointed(links.unionByName(_verified(more, names, texts, width, percent)))
-    else:
-        comp = components(links)
+        tested = tested.unionByName(more.select("a", "b"))
+        links = checkpointed(links.unionByName(_verified(more.select("a", "b"), names, texts, width, percent)))
+        comp = None if links.isEmpty() else components(links)
+        if more.where("cut").isEmpty():
+            break
     if comp is None:
         names = reps.select("key", F.col("doc_id").alias("least"))
     else:
@@ -284,8 +335,10 @@ def _across(crowded: DataFrame, reps: DataFrame, comp: DataFrame | None, percent
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     right = m.select("bucket", "key", "comp", "n", "regs", tile.alias("tile"), each("parts").alias("part"))
     names = ["bucket", "key", "comp", "n", "regs"]
-    left = m.where("comp != main").select(*[F.col(c).alias(f"{c}_") for c in names], each("tiles").alias("tile_"), part.alias("part_"))
-    return left.groupBy("bucket_", "tile_", "part_").cogroup(right.groupBy("bucket", "tile", "part")).applyInPandas(_tile_pairs(percent, likely), _PAIR).distinct()
+    left = m.where("comp != main").select(*names, each("tiles").alias("tile"), part.alias("part"), F.lit(1).alias("side"))
+    right = right.withColumn("side", F.lit(0)).select(left.columns)
+    by = ["bucket", "tile", "part"]
+    return left.unionByName(right).repartition(*by).sortWithinPartitions(*by, F.desc("side")).mapInArrow(_tile_pairs(percent, likely), _PAIR + ", cut boolean")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
