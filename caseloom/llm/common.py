@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,18 +14,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _shared(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where none is configured (tests, notebooks)."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        given = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="caseloom-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder.
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    _shared(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-    The folder is the cluster's ``spark.checkpoint.dir``; a folder of our own is
-    set only where none is configured (tests, notebooks).
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table in the shared folder.
+
+    For iterations: a checkpoint hands the optimizer's constraints on to the next
+    round, where they multiply; a table starts without any.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="caseloom-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = f"{_shared(spark)}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def crc_fold(key: Column) -> Column:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table
+from .common import table, written
 from .shingles import mix, set_key, shingle_sets
 
 WIDTH, PERCENT = 4, 80
@@ -256,16 +256,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(v, comp): per vertex of the edges the least vertex of its component.
 
     Least labels travel along edges and jump along labels, so that chains halve in
-    each round; every round is checkpointed.
+    each round; every round is written down.
     """
-    both = checkpointed(edges.select(F.col(a).alias("v"), F.col(b).alias("w")).unionByName(edges.select(F.col(b).alias("v"), F.col(a).alias("w"))).distinct())
+    both = written(edges.select(F.col(a).alias("v"), F.col(b).alias("w")).unionByName(edges.select(F.col(b).alias("v"), F.col(a).alias("w"))).distinct())
     label = both.groupBy("v").agg(F.min("w").alias("m")).select("v", F.least("v", "m").alias("comp"))
     while True:
-        label = checkpointed(label)
+        label = written(label)
         near = both.join(label.select(F.col("v").alias("w"), F.col("comp").alias("c")), "w").groupBy("v").agg(F.min("c").alias("c"))
         step = label.join(near, "v").select("v", "comp", F.least("comp", "c").alias("low"))
         jump = step.join(label.select(F.col("v").alias("low"), F.col("comp").alias("lower")), "low", "left")
-        new = checkpointed(jump.select("v", F.coalesce(F.least("low", "lower"), F.col("low")).alias("comp"), (F.coalesce(F.least("low", "lower"), F.col("low")) != F.col("comp")).alias("moved")))
+        new = written(jump.select("v", F.coalesce(F.least("low", "lower"), F.col("low")).alias("comp"), (F.coalesce(F.least("low", "lower"), F.col("low")) != F.col("comp")).alias("moved")))
         label = new.select("v", "comp")
         if new.where("moved").isEmpty():
             return label
@@ -274,10 +274,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs that are links, with the texts of their sets."""
     ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = checkpointed(ids.join(reps, "key").select("key", "row_id"))
+    wanted = written(ids.join(reps, "key").select("key", "row_id"))
     few = wanted.count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(wanted) if few else wanted, "row_id").select("key", "text")
-    texts = checkpointed(texts)
+    texts = written(texts)
     full = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     return full.select("a", "b", "text_a", "text_b").mapInPandas(_linked(width, percent), _PAIR)
 
@@ -285,29 +285,29 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, pe
 def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = checkpointed(sketches(src, width))
+    rows = written(sketches(src, width))
     groups = rows.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("regs").alias("regs"))
-    reps = checkpointed(groups)
+    reps = written(groups)
     slices = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * ROWS + 1, ROWS)) for i in range(BANDS)])
     members = reps.select("key", F.explode(slices).alias("bucket"))
     ends = members.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    crowded = checkpointed(members.join(ends, "bucket"))
+    crowded = written(members.join(ends, "bucket"))
     ways = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("key").alias("b")), F.struct(F.col("key").alias("a"), F.col("hi").alias("b"))))
     pairs = crowded.select(ways.alias("p")).select("p.a", "p.b").where("a != b").distinct()
     of = lambda side: reps.select(F.col("key").alias(side), F.col("n").alias(f"n_{side}"), F.col("regs").alias(f"regs_{side}"))
     pairs = pairs.join(of("a"), "a").join(of("b"), "b").mapInPandas(_kept_pairs(percent), _PAIR)
     texts = src.withColumnRenamed("doc_id", "row_id")
     names = reps.select("key", F.col("doc_id").alias("row_id"))
-    tested = checkpointed(pairs)
-    links = checkpointed(_verified(tested, names, texts, width, percent))
+    tested = written(pairs)
+    links = written(_verified(tested, names, texts, width, percent))
     comp = None if links.isEmpty() else components(links)
     for likely in (LIKELY, None):
         found = _across(crowded, reps, comp, percent, likely)
-        more = checkpointed(found.groupBy("a", "b").agg(F.max("cut").alias("cut")).join(tested, ["a", "b"], "left_anti"))
+        more = written(found.groupBy("a", "b").agg(F.max("cut").alias("cut")).join(tested, ["a", "b"], "left_anti"))
         if more.isEmpty():
             break
         tested = tested.unionByName(more.select("a", "b"))
-        links = checkpointed(links.unionByName(_verified(more.select("a", "b"), names, texts, width, percent)))
+        links = written(links.unionByName(_verified(more.select("a", "b"), names, texts, width, percent)))
         comp = None if links.isEmpty() else components(links)
         if more.where("cut").isEmpty():
             break
