@@ -73,3 +73,33 @@ def row_errors(columns: dict[str, Column]) -> Column:
         (~F.coalesce(confidence.between(0, 1) & ~F.isnan(confidence), F.lit(False)), "confidence"),
     ]
     return F.array_join(F.array_compact(F.array(*[F.when(bad, F.lit(name)) for bad, name in tests])), ",")
+
+
+def field_scores(pairs: DataFrame, fields: dict[str, int] = vocab.FIELD_WEIGHTS) -> DataFrame:
+    """One row per (case, scorable field): status, points, max_points.
+
+    ``pairs`` has truth_<field>, pred_<field>, present and an array ``unrecoverable``.
+    Fields that cannot be recovered shrink the maximum; a missing case keeps it.
+    """
+    def one(name: str, weight: int) -> Column:
+        key = flags_key if name == "risk_flags" else folded
+        lost = F.array_contains(F.coalesce("unrecoverable", F.array().cast("array<string>")), name)
+        hit = F.col("present") & (key(F.col(f"truth_{name}")) == key(F.col(f"pred_{name}")))
+        return F.struct(
+            F.lit(name).alias("field"), F.when(lost, "not_scorable_unrecoverable").when(hit, "matched").otherwise("missed").alias("status"),
+            F.when(hit & ~lost, weight).otherwise(0).alias("points"), F.when(lost, 0).otherwise(weight).alias("max_points"),
+        )
+
+    rows = pairs.select("case_id", F.explode(F.array(*[one(n, w) for n, w in fields.items()])).alias("f"))
+    return rows.select("case_id", "f.*")
+
+
+def extraction_score(scores: DataFrame) -> DataFrame:
+    """Points over the attainable points, on the section's scale."""
+    return scores.agg(F.sum("points").alias("raw"), F.sum("max_points").alias("most"), (vocab.EXTRACTION_POINTS * F.coalesce(F.try_divide(F.sum("points"), F.sum("max_points")), F.lit(0.0))).alias("score"))
+
+
+def result_document(confusion_: DataFrame, sections_: DataFrame, brier_: DataFrame) -> DataFrame:
+    """The evaluation as one row with nested counts; each input is a handful of rows."""
+    counts = confusion_.agg(F.array_sort(F.collect_list(F.struct("truth", "pred", "n"))).alias("confusion"))
+    return sections_.crossJoin(F.broadcast(brier_)).crossJoin(F.broadcast(counts)).withColumn("total_score", F.col("class_score") + F.col("calibration") - F.col("missing_penalty"))

@@ -45,3 +45,16 @@ def link_scores(page_values: DataFrame, case_values: DataFrame) -> DataFrame:
     best = ranked.where("n = 1").drop("n")
     clash = F.arrays_overlap(F.split("conflicts", ","), F.array(F.lit("applicant_name"), F.lit("sponsor_id")))
     return best.withColumn("safe", (F.col("matched") >= 2) & (F.col("score") >= 7) & (F.col("score") - F.col("second") >= 3) & ~clash)
+
+
+def near_established(pages: DataFrame, packet: str = "packet", case: str = "case_id", least: float = 0.85) -> DataFrame:
+    """(packet, case_id, assigned): ids seen once that read like an established id of the packet; the nearest, then the least."""
+    from ..functions.similarity import ratio_udf
+
+    per = pages.where(F.col(case).isNotNull()).groupBy(packet, case).agg(F.count(F.lit(1)).alias("pages"))
+    lone = per.where("pages = 1").select(packet, F.col(case).alias("case_id"))
+    known = per.where("pages > 1").select(packet, F.col(case).alias("assigned"))
+    # Only ids of one packet meet, and only those of like length.
+    met = lone.join(known, packet).where(F.abs(F.length("case_id") - F.length("assigned")) <= 2).withColumn("ratio", ratio_udf("case_id", "assigned")).where(F.col("ratio") >= least)
+    w = W.partitionBy(packet, "case_id").orderBy(F.desc("ratio"), "assigned")
+    return met.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(packet, "case_id", "assigned")

@@ -87,21 +87,34 @@ def cue_text(text: Column) -> Column:
     return collapsed(F.regexp_replace(F.regexp_replace(v, r"[_|:;/\\\-]+", " "), r"[^a-z0-9\s]", " "))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def classified(text: Column) -> Column:
     """(document_type, score, confidence) by the cues that the text contains."""
-    t = cue_text(text)
-    scores = []
-    for at, (kind, (least, headings, fields)) in enumerate(vocab.DOCUMENT_CUES.items()):
-        heading = F.greatest(*[F.when(t.contains(h), w).otherwise(0) for h, w in headings.items()])
-        field = sum((F.when(t.contains(f), w).otherwise(0) for f, w in fields.items()), F.lit(0))
-        scores.append(F.struct((-(heading + field)).alias("score"), F.lit(at).alias("at"), F.lit(kind).alias("kind"), F.lit(least).alias("least"), (heading > 0).alias("headed")))
-    ranked = F.array_sort(F.array(*scores))
-    best, second = F.get(ranked, 0), F.get(ranked, 1)
-    score, margin = -best["score"], second["score"] - best["score"]
-    raw = 0.35 + 0.035 * score + 0.04 * margin
-    raw = F.when(best["headed"], raw).otherwise(F.least(raw, F.lit(0.90)))
-    known = score >= best["least"]
-    return F.struct(F.when(known, best["kind"]).otherwise("unknown").alias("document_type"), score.alias("score"), F.when(known, F.round(F.least(raw, F.lit(1.0)), 3)).otherwise(0.0).alias("confidence"))
+
+    def cued(at: int, kind: str, least: int, field: Column):
+        return lambda h: F.struct((-(h + field)).alias("score"), F.lit(at).alias("at"), F.lit(kind).alias("kind"), F.lit(least).alias("least"), (h > 0).alias("headed"))
+
+    def ranked(t: Column) -> Column:
+        scores = []
+        for at, (kind, (least, headings, fields)) in enumerate(vocab.DOCUMENT_CUES.items()):
+            heading = F.greatest(*[F.when(t.contains(h), w).otherwise(0) for h, w in headings.items()])
+            field = sum((F.when(t.contains(f), w).otherwise(0) for f, w in fields.items()), F.lit(0))
+            scores.append(_let(heading, cued(at, kind, least, field)))
+        return F.array_sort(F.array(*scores))
+
+    def judged(r: Column) -> Column:
+        best, second = F.get(r, 0), F.get(r, 1)
+        score, margin = -best["score"], second["score"] - best["score"]
+        raw = 0.35 + 0.035 * score + 0.04 * margin
+        raw = F.when(best["headed"], raw).otherwise(F.least(raw, F.lit(0.90)))
+        known = score >= best["least"]
+        return F.struct(F.when(known, best["kind"]).otherwise("unknown").alias("document_type"), score.alias("score"), F.when(known, F.round(F.least(raw, F.lit(1.0)), 3)).otherwise(0.0).alias("confidence"))
+
+    return _let(_let(cue_text(text), ranked), judged)
 
 
 def suspicious(text: Column, patterns=vocab.SUSPICIOUS) -> Column:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions import normalize, similarity, vocab
+from ..functions import labels, normalize, similarity, vocab
 from ..functions.text import collapsed
-from ..operators import derive, evaluate, identity, pages, resolve, triage
+from ..operators import derive, evaluate, identity, pages, predict, resolve, series, triage
 from ..streaming import arrivals
 from .cases import ERRORS_SQL, OBSERVATIONS_SQL, SCORED_SQL, WIDE_SQL, errors, observations, pick, scored, t, wide_cases
 
@@ -443,6 +443,117 @@ def _(s, sf):
     return n.crossJoin(F.broadcast(r)).select((F.col("r_regionkey") * 100 + F.col("n_nationkey")).alias("config"), (F.lit(0.5) * F.col("r_regionkey") + F.lit(0.25) * F.col("n_nationkey")).cast("double").alias("score"))
 
 
+# Whole packets, fields, series ---------------------------------------------------------------
+
+
+def packet_pages(s, sf) -> DataFrame:
+    """Orders as packets of three page texts."""
+    k = F.col("o_orderkey")
+    case = F.concat(F.lit("MIB-"), F.lpad((k % 1000000).cast("string"), 6, "0"))
+    sponsor = F.concat(F.lit("SPN-"), F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"))
+    visa = pick(k % 5, vocab.VISA_CLASSES)
+    flags = pick(k % 7, ("none", "none", "none", "none", "biohazard_red", "none", "identity_conflict"))
+    intake = F.concat(F.lit("MIB Intake Form Case ID: "), case, F.lit(" Applicant: Zed Quill Species Code: ORION_GRAYS Home World: Titan Freeport Visa Class: "), visa, F.lit(" Sponsor ID: "), sponsor, F.lit(" Arrival Date: 2026-05-01 Declared Purpose: field repair Packet "), case, F.lit(" / page 1"))
+    fee = F.concat(F.lit("MIB Fee Receipt Case ID: "), case, F.lit(" Fee Status: paid Amount: $"), F.when(k % 3 == 0, "0").otherwise("120.00"), F.lit(" Waiver Code: "), F.when(k % 6 == 0, "DIP-WAIVER").otherwise("N/A"))
+    slip = F.concat(F.lit("Biometric Scan Slip Case ID: "), case, F.lit(" Species Match: ORION_GRAYS Biometric confidence: 91% Observed flags: "), flags)
+    rows = t(s, sf, "orders").select(case.alias("case_id"), F.posexplode(F.array(intake, fee, slip)).alias("page_number", "text"))
+    return rows.withColumn("text_source", F.lit("native_text"))
+
+
+@query("predict_cases", """
+WITH o AS (SELECT *, ['MED-3', 'DIP-1', 'XW-1', 'XW-2', 'TRANSIT-7'][o_orderkey % 5 + 1] AS visa, 'SPN-' || lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') AS sponsor,
+  ['none', 'none', 'none', 'none', 'biohazard_red', 'none', 'identity_conflict'][o_orderkey % 7 + 1] AS flags, CASE WHEN o_orderkey % 6 = 0 THEN 'waived' ELSE 'paid' END AS fee FROM orders),
+r AS (SELECT *, CASE WHEN flags = 'biohazard_red' THEN 'disqualifying' WHEN visa = 'TRANSIT-7' THEN 'transit' WHEN sponsor IN ('SPN-0007', 'SPN-0139', 'SPN-4040', 'SPN-9090', 'SPN-2718', 'SPN-7331') AND visa <> 'DIP-1' THEN 'revoked' WHEN flags = 'identity_conflict' THEN 'review' ELSE 'clean' END AS rule FROM o)
+SELECT 'MIB-' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS case_id, 'Zed Quill' AS applicant_name, 'ORION_GRAYS' AS species_code, 'Titan Freeport' AS home_world, visa AS visa_class, sponsor AS sponsor_id, '2026-05-01' AS arrival_date, 'field repair' AS declared_purpose,
+  flags AS risk_flags, fee AS fee_status, CASE rule WHEN 'review' THEN 'NEEDS_REVIEW' WHEN 'clean' THEN 'APPROVED' ELSE 'DENIED' END AS adjudication,
+  CAST(CASE rule WHEN 'disqualifying' THEN 0.93 WHEN 'transit' THEN 0.92 WHEN 'revoked' THEN 0.76 WHEN 'review' THEN 0.76 ELSE 0.82 END AS DOUBLE) AS confidence FROM r""")
+def _(s, sf):
+    p = packet_pages(s, sf)
+    return predict.predicted(p, p)
+
+
+@query("prediction_fallback", "SELECT 'MIB-' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS case_id, 'NEEDS_REVIEW' AS adjudication, 'SPN-0000' AS sponsor_id, CAST(0.4 AS DOUBLE) AS confidence FROM part")
+def _(s, sf):
+    from ..sources.writers import baseline
+
+    return baseline(t(s, sf, "part").select(_case("p_partkey").alias("case_id")), 0.4).select("case_id", "adjudication", "sponsor_id", F.col("confidence").cast("double").alias("confidence"))
+
+
+@query("name_outlier_flags", "SELECT 'MIB-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS case_id, CASE WHEN o_orderkey % 4 = 0 THEN 'identity_conflict' ELSE 'sponsor_mismatch' END AS flag FROM orders WHERE o_orderkey % 4 IN (0, 1)")
+def _(s, sf):
+    k = F.col("o_orderkey")
+    one = lambda kind, name, source="native_text": F.struct(F.lit(kind).alias("document_type"), (name if not isinstance(name, str) else F.lit(name)).alias("normalized_value"), F.lit(source).alias("text_source"))
+    names = F.array(one("intake_form", F.when(k % 4 == 0, "Mo Brask").otherwise("Orikesh Aritari")), one("sponsor_attestation", F.when(k % 4 == 1, "Mo Brask").when(k % 4 == 2, "Orikesh Antari").otherwise("Orikesh Aritari")), one("registry_extract", "Orikesh Antari", "ocr"))
+    o = t(s, sf, "orders").select(_case("o_orderkey").alias("case_id"), F.lit("applicant_name").alias("field"), F.inline(names))
+    return predict.name_outliers(o)
+
+
+@query("score_fields", """WITH s AS (SELECT c_custkey, c_custkey % 3 <> 0 AS visa, c_custkey % 5 <> 0 AS fee, c_custkey % 7 <> 0 AS present, c_custkey % 4 = 0 AS lost FROM customer)
+SELECT c_custkey AS case_id, CAST(CASE WHEN present AND visa AND NOT lost THEN 5 ELSE 0 END + CASE WHEN present AND fee THEN 4 ELSE 0 END + CASE WHEN present THEN 8 ELSE 0 END AS BIGINT) AS points, CAST(CASE WHEN lost THEN 12 ELSE 17 END AS BIGINT) AS most FROM s""")
+def _(s, sf):
+    k = F.col("c_custkey")
+    pairs = t(s, sf, "customer").select(
+        k.alias("case_id"), F.lit("XW-1").alias("truth_visa_class"), F.when(k % 3 == 0, "XW-2").otherwise(" xw-1 ").alias("pred_visa_class"), F.lit("paid").alias("truth_fee_status"), F.when(k % 5 == 0, None).otherwise("PAID").alias("pred_fee_status"),
+        F.lit("biohazard_red|active_warrant").alias("truth_risk_flags"), F.lit("active_warrant| biohazard_red").alias("pred_risk_flags"), (k % 7 != 0).alias("present"), F.when(k % 4 == 0, F.array(F.lit("visa_class"))).alias("unrecoverable"),
+    )
+    scores = evaluate.field_scores(pairs, {f: vocab.FIELD_WEIGHTS[f] for f in ("visa_class", "fee_status", "risk_flags")})
+    return scores.groupBy("case_id").agg(F.sum("points").alias("points"), F.sum("max_points").alias("most"))
+
+
+@query("evaluation_document")
+def _(s, sf):
+    """One nested row; its parts have SQL of their own above."""
+    x = scored(s, sf)
+    return evaluate.result_document(evaluate.confusion(x), evaluate.sections(x), evaluate.brier(x))
+
+
+@query("page_quality_histogram", "SELECT CASE WHEN l_quantity >= 15 AND l_returnflag <> 'R' THEN 'digital_clean' WHEN l_returnflag = 'R' AND l_linenumber > 2 THEN 'scan_readable' WHEN l_returnflag = 'R' THEN 'scan_degraded' ELSE 'insufficient_evidence' END AS quality_class, count(*) AS n FROM lineitem GROUP BY 1")
+def _(s, sf):
+    q = series.page_quality(F.col("l_quantity"), F.col("l_quantity") * 10, F.col("l_returnflag") == "R", F.col("l_linenumber") * 10.0, F.lit(30.0))
+    return t(s, sf, "lineitem").groupBy(q.alias("quality_class")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("fuzzy_labels")
+def _(s, sf):
+    """Fields behind damaged labels, per distinct page text; matching blocks have no SQL counterpart."""
+    text = F.concat(F.lit("Home Workt: Proxima-b Foe Status: paid Speeies Code ORION GRAYS Visa Clas: "), pick(F.col("p_size") % 5, vocab.VISA_CLASSES))
+    d = t(s, sf, "part").select(text.alias("text")).distinct()
+    m = d.select("text", labels.labelled_fields("text").alias("f"))
+    return m.select("text", m.f["home_world"].alias("home_world"), m.f["fee_status"].alias("fee_status"), m.f["visa_class"].alias("visa_class"))
+
+
+@query("near_established_ids")
+def _(s, sf):
+    """Ids seen once that read like an id seen often in the packet."""
+    p = t(s, sf, "lineitem").select(F.col("l_suppkey").alias("packet"), F.concat(F.lit("MIB-"), F.lpad((F.col("l_partkey") % 97).cast("string"), 6, "0")).alias("case_id"))
+    return identity.near_established(p)
+
+
+@query("absorbed_outliers", "WITH n AS (SELECT event_id, user_id, value, lag(value) OVER w AS b, lead(value) OVER w AS a FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT event_id, CASE WHEN abs(b - a) <= 5 AND abs(value - b) > 5 AND abs(value - a) > 5 THEN b ELSE value END AS cleaned FROM n")
+def _(s, sf):
+    return series.absorbed(t(s, sf, "events").select("event_id", "user_id", "value"), ["user_id"], "event_id", "value", 5.0).select("event_id", "cleaned")
+
+
+@query("cascade_from_anchor", """WITH r AS (SELECT event_id, user_id, value, sum(event_id % 7) OVER (PARTITION BY user_id ORDER BY event_id) AS run FROM events),
+a AS (SELECT user_id, run AS anchor FROM r QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) = 1) SELECT event_id, CAST(run - anchor AS BIGINT) AS shift FROM r JOIN a USING (user_id)""")
+def _(s, sf):
+    e = t(s, sf, "events").select("event_id", "user_id", "value", (F.col("event_id") % 7).alias("step"))
+    return series.cascaded(e, ["user_id"], "event_id", "step", "value").select("event_id", "shift")
+
+
+@query("trimmed_fit", """WITH f AS (SELECT l_returnflag, regr_slope(l_extendedprice, l_quantity) AS s, regr_intercept(l_extendedprice, l_quantity) AS i FROM lineitem GROUP BY 1),
+r AS (SELECT l.l_returnflag, l_quantity, l_extendedprice, l_extendedprice - s * l_quantity - i AS r FROM lineitem l JOIN f USING (l_returnflag)), d AS (SELECT l_returnflag, stddev_pop(r) AS d FROM r GROUP BY 1)
+SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept, count(*) AS n FROM r JOIN d USING (l_returnflag) WHERE abs(r) <= 2.0 * d + 1e-12 GROUP BY 1""")
+def _(s, sf):
+    f = series.trimmed_fit(t(s, sf, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice"), ["l_returnflag"], "l_quantity", "l_extendedprice")
+    return f.select("l_returnflag", F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"), "n")
+
+
+@query("phrase_recall", "SELECT doc_id, (CASE WHEN contains(lower(text), 'the') THEN 1 ELSE 0 END + CASE WHEN contains(lower(text), 'license') THEN 1 ELSE 0 END) / CAST(2.0 AS DOUBLE) AS recall FROM documents")
+def _(s, sf):
+    return t(s, sf, "documents").select("doc_id", series.phrase_recall(F.col("text"), ["the", "License"]).cast("double").alias("recall"))
+
+
 # Extensions ----------------------------------------------------------------------------------
 
 
