@@ -12,10 +12,12 @@
    the known set sizes, and a pair that may reach the threshold is verified on both
    full sets. Verified links give components.
 4. Buckets that still hold several components have their minor members compared
-   with all others, tile by tile, by the same estimate: first the most likely
-   partners in each component, then all that remain. So no link between different
-   texts is lost to the choice of partners, and a group of copies never becomes all
-   of its pairs.
+   with all others, tile by tile, by the same estimate, and the most likely partners
+   are verified. Buckets with more such pairs are joined to clusters; there every
+   pair across components that may be a link is tested inside its tile, on full
+   sets, and one link to each component reached is kept. So no link between
+   different texts is lost to the choice of partners, and a group of copies never
+   becomes all of its pairs.
 
 Defined results: a null or empty text, or one without words, has an empty set, no
 links and itself as component; a text with fewer words than a shingle is one
@@ -47,12 +49,12 @@ BANDS = M // ROWS
 SLACK = 4.5
 #: Members of a bucket compared in one task, on either side.
 TILE = 1024
-#: Partners per component that the first comparison of a bucket's minor members keeps.
-LIKELY = 3
+#: Partners of a minor member of a bucket that are tested before the rest.
+LIKELY = 2
 #: Ids (of 8 bytes) up to which the texts in doubt are found by a broadcast; beyond, by a shuffle.
 BROADCAST_IDS = 1_000_000
 
-_SETS = "doc_id long, n_shingles long, key binary, regs binary"
+_SETS = "doc_id long, text_hash long, n_shingles long, key binary, regs binary"
 _PAIR = "a binary, b binary"
 
 
@@ -129,16 +131,16 @@ def _sketched(width: int):
                 sets = shingle_sets([t or "" for t in batch.column(1).to_pylist()], width)
                 regs = registers(sets)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())],
-                    names=["doc_id", "n_shingles", "key", "regs"],
+                    [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())],
+                    names=["doc_id", "text_hash", "n_shingles", "key", "regs"],
                 )
 
     return run
 
 
 def sketches(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row doc_id, n_shingles, digest of the set and registers."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_sketched(width), _SETS)
+    """Per row doc_id, hash of the text, n_shingles, digest of the set and registers."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(_sketched(width), _SETS)
 
 
 def _regs(column: pd.Series) -> np.ndarray:
@@ -159,50 +161,8 @@ def _codes(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, 2)
 
 
-def _tile_pairs(percent: int, likely: int | None):
-    """Tiles, each a run of rows with its minor members (side 1) first: those against all its members, across components.
-
-    ``cut`` tells whether a pair's component had more partners than were kept.
-    """
-    empty = pa.RecordBatch.from_pylist([], schema=pa.schema([("a", pa.binary()), ("b", pa.binary()), ("cut", pa.bool_())]))
-
-    def compared(t: pa.Table) -> pa.RecordBatch:
-        run = np.stack([t.column(c).to_numpy() for c in ("bucket", "tile", "part")], 1)
-        side, n = t.column("side").to_numpy(), t.column("n").to_numpy()
-        new = np.concatenate(([True], (run[1:] != run[:-1]).any(1)))
-        first = np.flatnonzero(new)
-        which = np.cumsum(new) - 1
-        minor = np.bincount(which, side, len(first)).astype(np.int64)
-        size = np.diff(np.append(first, len(new)))
-        left = np.flatnonzero(side == 1)
-        count = (size - minor)[which[left]]
-        start = (first + minor)[which[left]]
-        keys = t.column("key").combine_chunks().to_pylist()
-        comp = _codes(t.column("comp").combine_chunks())
-        regs = np.frombuffer(b"".join(t.column("regs").combine_chunks().to_pylist()), np.uint8).reshape(-1, M)
-        ends = np.cumsum(count)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        at = 0
-        while at < len(left):
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 100_000, "right")))
-            c = count[at:to]
-            i = np.repeat(left[at:to], c)
-            j = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) + np.repeat(start[at:to], c)
-            apart = (comp[i] != comp[j]).any(1)
-            i, j = i[apart], j[apart]
-            est = hopeful(n[i], n[j], regs[i], regs[j], percent)
-            good = est >= 0
-            found.append((i[good], j[good], est[good]))
-            at = to
-        i, j, est = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-        if not len(i):
-            return empty
-        f = pd.DataFrame({"i": i, "c0": comp[j, 0], "c1": comp[j, 1], "j": j, "est": est}).sort_values(["i", "c0", "c1", "est"], ascending=[True, True, True, False], kind="stable")
-        group = f.groupby(["i", "c0", "c1"], sort=False)
-        cut = group["j"].transform("size").to_numpy() > (likely or len(f))
-        kept = group.cumcount().to_numpy() < (likely or len(f))
-        rows = [(min(keys[x], keys[y]), max(keys[x], keys[y])) for x, y in zip(f["i"][kept], f["j"][kept], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array(cut[kept])], names=["a", "b", "cut"])
+def _tiles(columns: tuple[str, ...], compared):
+    """Feed whole tiles, which are runs of equal ``columns`` in sorted rows, to ``compared``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -210,20 +170,109 @@ def _tile_pairs(percent: int, likely: int | None):
             if not batch.num_rows:
                 continue
             t = pa.Table.from_batches([*held, batch])
-            last = [t.column(c)[-1].as_py() for c in ("bucket", "tile", "part")]
             same = np.ones(t.num_rows, bool)
-            for c, v in zip(("bucket", "tile", "part"), last, strict=True):
-                same &= t.column(c).to_numpy() == v
-            whole = t.num_rows - int(same.sum())  # the last run may go on in the next batch
+            for c in columns:
+                last = t.column(c)[-1].as_py()
+                same &= np.array([x == last for x in t.column(c).to_pylist()]) if isinstance(last, bytes) else t.column(c).to_numpy() == last
+            whole = t.num_rows - int(same.sum())  # the last tile may go on in the next batch
             if whole:
-                yield compared(t.slice(0, whole))
+                yield from compared(t.slice(0, whole))
             held = t.slice(whole).combine_chunks().to_batches()
         if held:
-            yield compared(pa.Table.from_batches(held))
+            yield from compared(pa.Table.from_batches(held))
 
     return run
 
 
+def _hopeful_pairs(t: pa.Table, tile: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of (minor row, member row, estimate, components) of the pairs across components that may be links.
+
+    ``tile`` numbers the tiles; in each the minor members (side 1) come first.
+    """
+    side, n = t.column("side").to_numpy(), t.column("n").to_numpy()
+    first = np.flatnonzero(np.diff(tile, prepend=-1))
+    minor = np.bincount(tile, side, len(first)).astype(np.int64)
+    size = np.diff(np.append(first, len(tile)))
+    left = np.flatnonzero(side == 1)
+    count, start = (size - minor)[tile[left]], (first + minor)[tile[left]]
+    comp = _codes(t.column("comp").combine_chunks())
+    regs = np.frombuffer(b"".join(t.column("regs").combine_chunks().to_pylist()), np.uint8).reshape(-1, M)
+    ends, at = np.cumsum(count), 0
+    while at < len(left):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 50_000, "right")))
+        c = count[at:to]
+        i = np.repeat(left[at:to], c)
+        j = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) + np.repeat(start[at:to], c)
+        apart = (comp[i] != comp[j]).any(1)
+        i, j = i[apart], j[apart]
+        est = hopeful(n[i], n[j], regs[i], regs[j], percent)
+        good = est >= 0
+        if good.any():
+            yield i[good], j[good], est[good], comp
+        at = to
+
+
+def _numbered(t: pa.Table, columns: tuple[str, ...]) -> np.ndarray:
+    new = np.zeros(t.num_rows, bool)
+    new[0] = True
+    for c in columns:
+        v = t.column(c).to_pylist()
+        new[1:] |= np.array([x != y for x, y in zip(v[1:], v, strict=False)], bool)
+    return np.cumsum(new) - 1
+
+
+def _likely_pairs(percent: int):
+    """Per tile and minor member its LIKELY most likely partners; ``cut`` tells whether there were more."""
+    by = ("bucket", "tile", "part")
+
+    def compared(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys, buckets = t.column("key").to_pylist(), t.column("bucket").to_numpy()
+        for i, j, est, _ in _hopeful_pairs(t, _numbered(t, by), percent):
+            order = np.lexsort((j, -est, i))
+            i, j = i[order], j[order]
+            start = np.flatnonzero(np.diff(i, prepend=-1))
+            size = np.diff(np.append(start, len(i)))
+            place = np.arange(len(i)) - np.repeat(start, size)
+            cut = np.repeat(size > LIKELY, size)
+            kept = np.flatnonzero(place < LIKELY)
+            rows = [(min(keys[x], keys[y]), max(keys[x], keys[y])) for x, y in zip(i[kept], j[kept], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array(buckets[i[kept]]), pa.array(cut[kept])], names=["a", "b", "bucket", "cut"])
+
+    return _tiles(by, compared)
+
+
+def _tile_links(width: int, percent: int):
+    """Per tile and minor member one verified link to each component that it reaches; all pairs that may be links are tested."""
+    by = ("cluster", "tile", "part")
+
+    def compared(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys, texts, sets = t.column("key").to_pylist(), t.column("text").to_pylist(), {}
+
+        def of(x: int) -> np.ndarray:
+            k = keys[x]
+            if k not in sets:
+                sets[k] = shingle_sets([texts[x]], width)[0]
+            return sets[k]
+
+        done: set[tuple] = set()
+        for i, j, est, comp in _hopeful_pairs(t, _numbered(t, by), percent):
+            rows = []
+            for at in np.lexsort((j, -est, i)):
+                x, y = int(i[at]), int(j[at])
+                reached = (x, comp[y, 0], comp[y, 1])
+                if reached in done:
+                    continue
+                a, b = of(x), of(y)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    done.add(reached)
+                    rows.append((min(keys[x], keys[y]), max(keys[x], keys[y])))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], names=["a", "b"])
+
+    return _tiles(by, compared)
+
+
 def _linked(width: int, percent: int):
     """Pairs whose full sets reach the threshold."""
 
@@ -271,13 +320,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return label
 
 
+def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, text) of the wanted (key, row_id, row_hash); few ids are broadcast, many are shuffled."""
+    few = wanted.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(wanted) if few else wanted, docs["row_id"].eqNullSafe(wanted["row_id"]) & (docs["row_hash"] == wanted["row_hash"])).select("key", "text")
+
+
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs that are links, with the texts of their sets."""
     ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = written(ids.join(reps, "key").select("key", "row_id"))
-    few = wanted.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(wanted) if few else wanted, "row_id").select("key", "text")
-    texts = written(texts)
+    texts = written(_texts_of(written(ids.join(reps, "key").select("key", "row_id", "row_hash")), docs))
     full = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     return full.select("a", "b", "text_a", "text_b").mapInPandas(_linked(width, percent), _PAIR)
 
@@ -286,8 +338,8 @@ def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     """One row per document: doc_id, n_shingles, component_id, kept."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = written(sketches(src, width))
-    groups = rows.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("regs").alias("regs"))
-    reps = written(groups)
+    groups = rows.where("n_shingles > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("regs").alias("regs"))
+    reps = written(groups.select("key", "rep.doc_id", "rep.text_hash", "n", "regs"))
     slices = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * ROWS + 1, ROWS)) for i in range(BANDS)])
     members = reps.select("key", F.explode(slices).alias("bucket"))
     ends = members.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -296,21 +348,28 @@ def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     pairs = crowded.select(ways.alias("p")).select("p.a", "p.b").where("a != b").distinct()
     of = lambda side: reps.select(F.col("key").alias(side), F.col("n").alias(f"n_{side}"), F.col("regs").alias(f"regs_{side}"))
     pairs = pairs.join(of("a"), "a").join(of("b"), "b").mapInPandas(_kept_pairs(percent), _PAIR)
-    texts = src.withColumnRenamed("doc_id", "row_id")
-    names = reps.select("key", F.col("doc_id").alias("row_id"))
+    texts = src.select(F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_hash"), "text")
+    names = reps.select("key", F.col("doc_id").alias("row_id"), F.col("text_hash").alias("row_hash"))
     tested = written(pairs)
     links = written(_verified(tested, names, texts, width, percent))
     comp = None if links.isEmpty() else components(links)
-    for likely in (LIKELY, None):
-        found = _across(crowded, reps, comp, percent, likely)
-        more = written(found.groupBy("a", "b").agg(F.max("cut").alias("cut")).join(tested, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            break
-        tested = tested.unionByName(more.select("a", "b"))
-        links = written(links.unionByName(_verified(more.select("a", "b"), names, texts, width, percent)))
+    found = written(_tiled(crowded.select("bucket", "key"), "bucket", reps.select("key", "n", "regs"), comp).mapInArrow(_likely_pairs(percent), _PAIR + ", bucket long, cut boolean"))
+    more = written(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
+        links = written(links.unionByName(_verified(more, names, texts, width, percent)))
         comp = None if links.isEmpty() else components(links)
-        if more.where("cut").isEmpty():
-            break
+    full = found.where("cut").select("bucket").distinct()
+    if not full.isEmpty():
+        # Buckets with more pairs than were tested: joined to clusters, so that a group of near copies is read once and not once per band.
+        bridges = crowded.join(full, "bucket").select(F.col("lo").alias("a"), F.col("key").alias("b")).distinct()
+        cluster = components(bridges).select(F.col("v").alias("key"), F.col("comp").alias("cluster"))
+        rich = cluster.select("key").join(names, "key").select("key", "row_id", "row_hash")
+        rich = _texts_of(written(rich), texts)
+        rich = written(reps.select("key", "n", "regs").join(rich.dropDuplicates(["key"]), "key"))
+        late = written(_tiled(cluster, "cluster", rich, comp).mapInArrow(_tile_links(width, percent), _PAIR).distinct())
+        if not late.isEmpty():
+            links = written(links.unionByName(late))
+            comp = components(links)
     if comp is None:
         names = reps.select("key", F.col("doc_id").alias("least"))
     else:
@@ -322,23 +381,21 @@ def linked_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     return whole.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _across(crowded: DataFrame, reps: DataFrame, comp: DataFrame | None, percent: int, likely: int | None) -> DataFrame:
-    """Pairs to verify between the components of each bucket."""
-    m = crowded.select("bucket", "key", "size")
-    m = m.join(comp.withColumnRenamed("v", "key"), "key", "left") if comp is not None else m.withColumn("comp", F.lit(None).cast("binary"))
+def _tiled(members: DataFrame, group: str, payload: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """Tiles of each group that holds several components: its minor members (side 1), then its members, sorted and side by side."""
+    m = members.join(comp.withColumnRenamed("v", "key"), "key", "left") if comp is not None else members.withColumn("comp", F.lit(None).cast("binary"))
     m = m.withColumn("comp", F.coalesce("comp", "key"))
-    per = m.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
-    per = per.groupBy("bucket").agg(F.max(F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("c").alias("all")).where("comps > 1")
-    m = m.join(per.select("bucket", F.col("main.comp").alias("main"), F.ceil((F.col("all") - F.col("main.c")) / TILE).alias("parts"), F.ceil(F.col("all") / TILE).alias("tiles")), "bucket")
-    m = m.join(reps.select("key", "n", "regs"), "key")
+    per = m.groupBy(group, "comp").agg(F.count(F.lit(1)).alias("c"))
+    per = per.groupBy(group).agg(F.max(F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("c").alias("all")).where("comps > 1")
+    m = m.join(per.select(group, F.col("main.comp").alias("main"), F.ceil((F.col("all") - F.col("main.c")) / TILE).alias("parts"), F.ceil(F.col("all") / TILE).alias("tiles")), group)
+    m = m.join(payload, "key")
     tile, part = F.pmod(F.xxhash64("key"), F.col("tiles")), F.pmod(F.xxhash64("key"), F.col("parts"))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    right = m.select("bucket", "key", "comp", "n", "regs", tile.alias("tile"), each("parts").alias("part"))
-    names = ["bucket", "key", "comp", "n", "regs"]
+    names = [group, "key", "comp", *[c for c in payload.columns if c != "key"]]
     left = m.where("comp != main").select(*names, each("tiles").alias("tile"), part.alias("part"), F.lit(1).alias("side"))
-    right = right.withColumn("side", F.lit(0)).select(left.columns)
-    by = ["bucket", "tile", "part"]
-    return left.unionByName(right).repartition(*by).sortWithinPartitions(*by, F.desc("side")).mapInArrow(_tile_pairs(percent, likely), _PAIR + ", cut boolean")
+    right = m.select(*names, tile.alias("tile"), each("parts").alias("part"), F.lit(0).alias("side"))
+    by = [group, "tile", "part"]
+    return left.unionByName(right).repartition(*by).sortWithinPartitions(*by, F.desc("side"))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,7 @@ def test_neardup(spark, monkeypatch, tile):
     monkeypatch.setattr(neardup, "TILE", tile)
     rows = corpus()
     rows += rows[:3]
+    rows += [(rows[3][0], rows[9][1]), (rows[4][0], "an id used again for another text")]
     df = spark.createDataFrame([(i, t, "x", b"y") for i, t in rows], "doc_id long, text string, comp string, regs binary").repartition(3)
     got = neardup.linked_components(df).collect()
     assert sorted(map(tuple, got)) == brute(rows)
