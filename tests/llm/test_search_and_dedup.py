@@ -94,14 +94,14 @@ def test_neardup(spark, monkeypatch, tile):
     rows += rows[:3]
     rows += [(rows[3][0], rows[9][1]), (rows[4][0], "an id used again for another text")]
     df = spark.createDataFrame([(i, t, "x", b"y") for i, t in rows], "doc_id long, text string, comp string, regs binary").repartition(3)
-    got = neardup.linked_components(df).collect()
+    got = neardup.linked_components(df, width=4).collect()
     assert sorted(map(tuple, got)) == brute(rows)
 
 
 def test_neardup_edges(spark):
     schema = "doc_id long, text string"
     assert neardup.linked_components(spark.createDataFrame([], schema)).count() == 0
-    got = neardup.linked_components(spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (7, "A b c d e"), (8, None)], schema)).collect()
+    got = neardup.linked_components(spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (7, "A b c d e"), (8, None)], schema), width=4).collect()
     assert sorted(map(str, got)) == sorted(map(str, [(None, 2, 7, True), (None, 2, 7, True), (7, 2, 7, True), (8, 0, 8, True)])) or {(r.doc_id, r.component_id, r.kept) for r in got} == {(None, 7, True), (7, 7, True), (8, 8, True)}
 
 
