@@ -304,20 +304,26 @@ def _linked(width: int, percent: int):
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(v, comp): per vertex of the edges the least vertex of its component.
 
-    Least labels travel along edges and jump along labels, so that chains halve in
-    each round; every round is written down.
+    In each round every vertex moves to the neighbour, or itself, that comes first in
+    a random order of that round; edges follow, and those within one vertex go. So a
+    constant share of the vertices leaves per round on any graph, and a star is gone
+    after one or two. Every round is written down.
     """
-    both = written(edges.select(F.col(a).alias("v"), F.col(b).alias("w")).unionByName(edges.select(F.col(b).alias("v"), F.col(a).alias("w"))).distinct())
-    label = both.groupBy("v").agg(F.min("w").alias("m")).select("v", F.least("v", "m").alias("comp"))
-    while True:
-        label = written(label)
-        near = both.join(label.select(F.col("v").alias("w"), F.col("comp").alias("c")), "w").groupBy("v").agg(F.min("c").alias("c"))
-        step = label.join(near, "v").select("v", "comp", F.least("comp", "c").alias("low"))
-        jump = step.join(label.select(F.col("v").alias("low"), F.col("comp").alias("lower")), "low", "left")
-        new = written(jump.select("v", F.coalesce(F.least("low", "lower"), F.col("low")).alias("comp"), (F.coalesce(F.least("low", "lower"), F.col("low")) != F.col("comp")).alias("moved")))
-        label = new.select("v", "comp")
-        if new.where("moved").isEmpty():
-            return label
+    e = written(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").distinct())
+    label = e.select(F.col("a").alias("v")).unionByName(e.select(F.col("b").alias("v"))).distinct().withColumn("comp", F.col("v"))
+    turn = 0
+    while not e.isEmpty():
+        order = lambda c: F.xxhash64(F.col(c), F.lit(turn))  # noqa: B023, E731
+        both = e.select(F.col("a").alias("v"), F.col("b").alias("w")).unionByName(e.select(F.col("b").alias("v"), F.col("a").alias("w")))
+        first = both.groupBy("v").agg(F.min(F.struct(order("w").alias("h"), "w")).alias("n"))
+        move = written(first.select("v", F.when(order("v") <= F.col("n.h"), F.col("v")).otherwise(F.col("n.w")).alias("to")))
+        at = lambda c, to: move.select(F.col("v").alias(c), F.col("to").alias(to))  # noqa: B023, E731
+        moved = e.join(at("a", "x"), "a").join(at("b", "y"), "b").where("x != y")
+        e = written(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        label = written(label.join(at("comp", "to"), "comp", "left").select("v", F.coalesce("to", "comp").alias("comp")))
+        turn += 1
+    least = label.groupBy("comp").agg(F.min("v").alias("least"))
+    return label.join(least, "comp").select("v", F.col("least").alias("comp"))
 
 
 def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
