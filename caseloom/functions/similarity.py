@@ -33,7 +33,13 @@ def compare_text(value: str) -> str:
     """Casefolded, separators as spaces, nothing but a-z, 0-9 and spaces."""
     import re
 
-    return re.sub(r"[^a-z0-9 ]", "", re.sub(r"[\s_-]+", " ", value.casefold())).strip()
+    return re.sub(r" +", " ", re.sub(r"[^a-z0-9 ]", "", re.sub(r"[\s_-]+", " ", value.casefold()))).strip()
+
+
+def unaccented(value: str) -> str:
+    import unicodedata
+
+    return "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c))
 
 
 @F.pandas_udf(DoubleType())
@@ -43,9 +49,7 @@ def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(StringType())
 def without_accents(s: pd.Series) -> pd.Series:
-    import unicodedata
-
-    return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
+    return s.map(lambda x: None if x is None else unaccented(x))
 
 
 def with_best_match(df: DataFrame, column: str, vocabulary: tuple[str, ...], least: float = 0.72, margin: float = 0.08, out: str = "matched") -> DataFrame:

@@ -20,7 +20,7 @@ def observations(page_texts: DataFrame) -> DataFrame:
     p = p.withColumn("fields", F.map_concat(F.map_filter(strict, lambda k, v: ~F.map_contains_key(F.col("notes"), k)), F.col("notes")))
     p = p.withColumn("seq", F.col("page_number").cast("bigint"))
     o = resolve.exploded(p.select("case_id", "page_number", "seq", "document_type", "text_source", "fields"))
-    return o.where("field <> 'case_id'").withColumn("normalized_value", normalize.by_field(F.col("field"), F.col("raw_value")))
+    return normalize.normalized(o.where("field <> 'case_id'"))
 
 
 def name_outliers(observed: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 KINDS = ("unknown", "adjudicator_note", "intake_form", "fee_receipt", "biometric_slip", "sponsor_attestation", "registry_extract")
-VISA_WRITTEN = ("xw1", "XW-2", "med 3", "DIP1", "TRANSIT-7")
+VISA_WRITTEN = ("xw1", "XW-2", "med 3", "DIP1", "TRANS1T-7")
 
 
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -168,16 +168,24 @@ def _(s, sf):
 def _one(name: str, sql: str, written, f):
     @query(name, f"SELECT o_orderkey, {sql} AS v FROM orders")
     def _(s, sf):
-        return t(s, sf, "orders").select("o_orderkey", f(written(F.col("o_orderkey"))).alias("v"))
+        raw = written(F.col("o_orderkey"))
+        if isinstance(f, str):
+            return normalize.normalized(t(s, sf, "orders").select("o_orderkey", F.lit(f).alias("field"), raw.alias("raw_value")), out="v").select("o_orderkey", "v")
+        return t(s, sf, "orders").select("o_orderkey", f(raw).alias("v"))
+
+
+def _damaged(k: Column, read: str, damaged: str) -> Column:
+    """A value and a damaged reading of it, in turn."""
+    return F.when(k % 8 < 4, read).otherwise(damaged)
 
 
 _one("norm_case_id", "'MIB-' || translate(lpad(CAST(o_orderkey AS VARCHAR), 6, '0'), '', '')", lambda k: F.concat(F.lit(" mib_"), F.translate(F.lpad(k.cast("string"), 6, "0"), "01", "OL")), normalize.case_id)
 _one("norm_sponsor_id", "'SPN-' || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0')", lambda k: F.concat(F.lit("spn "), F.translate(F.lpad((k % 10000).cast("string"), 4, "0"), "01", "oi")), normalize.sponsor_id)
-_one("norm_visa_alias", "['XW-1', 'MED-3', 'TRANSIT-7', NULL][o_orderkey % 4 + 1]", lambda k: pick(k % 4, ("x w1", "MED-3", " transit7", "zzz")), normalize.visa_class)
+_one("norm_visa_alias", "['XW-1', 'MED-3', 'TRANSIT-7', NULL][o_orderkey % 4 + 1]", lambda k: pick(k % 4, (_damaged(k, "x w1", "XWV-1"), _damaged(k, "MED-3", "MFD-3"), " transit7", "zzz")), "visa_class")
 _one("norm_fee_status", "['paid', 'unpaid', 'unknown', 'other'][o_orderkey % 4 + 1]", lambda k: pick(k % 4, (" PA1D ", "unpaid", "UNKN0WN", "0ther")), normalize.fee_status)
 _one("norm_date", "['2026-01-05', '2026-01-05', '2026-99-99', '20260105', NULL][o_orderkey % 5 + 1]", lambda k: pick(k % 5, ("2026-1-5", "2026/01/05", "2026-99-99", "20260105", "")), normalize.date)
-_one("norm_flags", "['active_warrant|biohazard_red', 'none', 'identity_conflict', NULL][o_orderkey % 4 + 1]", lambda k: pick(k % 4, ("Biohazard Red;active-warrant|biohazard_red", "NONE", "identity conflict,none", "zz")), normalize.risk_flags)
-_one("norm_species", "['ORION_GRAYS', 'KAIJU_MICRO'][o_orderkey % 2 + 1]", lambda k: pick(k % 2, (" orion - grays_", "kaiju  micro")), normalize.species_code)
+_one("norm_flags", "['active_warrant|biohazard_red', 'none', 'identity_conflict', NULL][o_orderkey % 4 + 1]", lambda k: pick(k % 4, (_damaged(k, "Biohazard Red;active-warrant|biohazard_red", "biohazard_rcd|act1ve warrant"), "NONE", _damaged(k, "identity conflict,none", "identlty conflict,none"), "zz")), "risk_flags")
+_one("norm_species", "['ORION_GRAYS', 'KAIJU_MICRO'][o_orderkey % 2 + 1]", lambda k: pick(k % 2, (_damaged(k, " orion - grays_", "ORI0N GRAY5"), "kaiju  micro")), "species_code")
 _one("norm_waiver", "['N/A', 'DIP-WAIVER'][o_orderkey % 2 + 1]", lambda k: pick(k % 2, ("not applicable", " dip-waiver ")), normalize.waiver_code)
 
 
@@ -216,7 +224,7 @@ def _(s, sf):
 
 
 def _normalized(s, sf):
-    return resolve.exploded(observations(s, sf)).withColumn("normalized_value", normalize.by_field(F.col("field"), F.col("raw_value")))
+    return normalize.normalized(resolve.exploded(observations(s, sf)))
 
 
 @query("observations_explode", f"WITH {OBSERVATIONS_SQL} SELECT field, normalized_value, count(*) AS n FROM obs GROUP BY 1, 2")
@@ -447,15 +455,15 @@ def _(s, sf):
 
 
 def packet_pages(s, sf) -> DataFrame:
-    """Orders as packets of three page texts."""
+    """Orders as packets of three page texts, half of them with damaged readings."""
     k = F.col("o_orderkey")
     case = F.concat(F.lit("MIB-"), F.lpad((k % 1000000).cast("string"), 6, "0"))
     sponsor = F.concat(F.lit("SPN-"), F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"))
-    visa = pick(k % 5, vocab.VISA_CLASSES)
-    flags = pick(k % 7, ("none", "none", "none", "none", "biohazard_red", "none", "identity_conflict"))
-    intake = F.concat(F.lit("MIB Intake Form Case ID: "), case, F.lit(" Applicant: Zed Quill Species Code: ORION_GRAYS Home World: Titan Freeport Visa Class: "), visa, F.lit(" Sponsor ID: "), sponsor, F.lit(" Arrival Date: 2026-05-01 Declared Purpose: field repair Packet "), case, F.lit(" / page 1"))
+    visa = pick(k % 5, tuple(_damaged(k, v, {"XW-1": "XWV-1", "MED-3": "MFD-3"}.get(v, v)) for v in vocab.VISA_CLASSES))
+    flags = pick(k % 7, ("none", "none", "none", "none", _damaged(k, "biohazard_red", "biohazard_rcd"), "none", _damaged(k, "identity_conflict", "identlty_confict")))
+    intake = F.concat(F.lit("MIB Intake Form Case ID: "), case, F.lit(" Applicant: Zed Quill Species Code: "), _damaged(k, "ORION_GRAYS", "ORI0N_GRAYS"), F.lit(" Home World: "), _damaged(k, "Titan Freeport", "Tit\u00e1n FreepQrt"), F.lit(" Visa Class: "), visa, F.lit(" Sponsor ID: "), sponsor, F.lit(" Arrival Date: 2026-05-01 Declared Purpose: field repair Packet "), case, F.lit(" / page 1"))
     fee = F.concat(F.lit("MIB Fee Receipt Case ID: "), case, F.lit(" Fee Status: paid Amount: $"), F.when(k % 3 == 0, "0").otherwise("120.00"), F.lit(" Waiver Code: "), F.when(k % 6 == 0, "DIP-WAIVER").otherwise("N/A"))
-    slip = F.concat(F.lit("Biometric Scan Slip Case ID: "), case, F.lit(" Species Match: ORION_GRAYS Biometric confidence: 91% Observed flags: "), flags)
+    slip = F.concat(F.lit("Biometric Scan Slip Case ID: "), case, _damaged(k, "", " Applicant: (NAME CUT OLIT]"), F.lit(" Species Match: ORION_GRAYS Biometric confidence: 91% Observed flags: "), flags)
     rows = t(s, sf, "orders").select(case.alias("case_id"), F.posexplode(F.array(intake, fee, slip)).alias("page_number", "text"))
     return rows.withColumn("text_source", F.lit("native_text"))
 

@@ -95,3 +95,17 @@ def test_sources_and_sinks(spark, tmp_path):
     for n in ("a.pdf", "b.PDF", "c.txt"):
         (tmp_path / "pdfs" / n).write_bytes(b"x")
     assert sorted(r["case_id"] for r in readers.packets(spark, f"{tmp_path}/pdfs").collect()) == ["a", "b"]
+
+
+@pytest.mark.parametrize(
+    ("field", "raw", "expected"),
+    [
+        ("visa_class", "XWV-1", "XW-1"), ("visa_class", "XW-", None), ("visa_class", "zzz", None), ("species_code", "ORI0N GRAY5", "ORION_GRAYS"), ("species_code", "garbage", None),
+        ("home_world", "GiieSé-581g)", "Gliese-581g"), ("home_world", "titan  FREEPORT", "Titan Freeport"), ("declared_purpose", "Xencbotany", "xenobotany"), ("declared_purpose", "Field  Repair", "field repair"),
+        ("risk_flags", "biohazard_rcd", "biohazard_red"), ("risk_flags", "none;act1ve warrant|biohazard_rcd", "active_warrant|biohazard_red"), ("risk_flags", "zz", None), ("risk_flags", "zz,none", "none"),
+        ("applicant_name", "(NAME CUT OLIT] Specees", None), ("applicant_name", " Zed Quill ", "Zed Quill"), ("waiver", " x ", "x"),
+    ],
+)
+def test_best_matches(spark, field, raw, expected):
+    rows = spark.createDataFrame([(1, field, raw), (2, field, None)], "n int, field string, raw_value string")
+    assert [r["normalized_value"] for r in normalize.normalized(rows).orderBy("n").collect()] == [expected, None]
