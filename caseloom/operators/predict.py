@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import normalize, vocab
+from ..functions import labels, normalize, vocab
+from ..functions.stored import checkpointed
 from ..functions.text import given, strict_date
 from . import derive, pages, resolve
 
@@ -16,10 +17,12 @@ def observations(page_texts: DataFrame) -> DataFrame:
     """(case_id, page_number, text, text_source) to normalized observations."""
     text = F.col("text")
     p = page_texts.withColumn("document_type", pages.classified(text)["document_type"]).withColumn("notes", pages.corrections(text))
-    strict = pages.extracted(F.col("document_type"), pages.without_corrections(text))
-    p = p.withColumn("fields", F.map_concat(F.map_filter(strict, lambda k, v: ~F.map_contains_key(F.col("notes"), k)), F.col("notes")))
+    plain = pages.without_corrections(text)
+    found = labels.completed("document_type", plain, pages.extracted(F.col("document_type"), plain))
+    p = p.withColumn("found", found).withColumn("fields", F.map_concat(F.map_filter("found", lambda k, v: ~F.map_contains_key(F.col("notes"), k)), F.col("notes")))
     p = p.withColumn("seq", F.col("page_number").cast("bigint"))
-    o = resolve.exploded(p.select("case_id", "page_number", "seq", "document_type", "text_source", "fields"))
+    # Read for the values to match, the resolution and the names.
+    o = resolve.exploded(checkpointed(p.select("case_id", "page_number", "seq", "document_type", "text_source", "fields")))
     return normalize.normalized(o.where("field <> 'case_id'"))
 
 

@@ -461,8 +461,8 @@ def packet_pages(s, sf) -> DataFrame:
     sponsor = F.concat(F.lit("SPN-"), F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"))
     visa = pick(k % 5, tuple(_damaged(k, v, {"XW-1": "XWV-1", "MED-3": "MFD-3"}.get(v, v)) for v in vocab.VISA_CLASSES))
     flags = pick(k % 7, ("none", "none", "none", "none", _damaged(k, "biohazard_red", "biohazard_rcd"), "none", _damaged(k, "identity_conflict", "identlty_confict")))
-    intake = F.concat(F.lit("MIB Intake Form Case ID: "), case, F.lit(" Applicant: Zed Quill Species Code: "), _damaged(k, "ORION_GRAYS", "ORI0N_GRAYS"), F.lit(" Home World: "), _damaged(k, "Titan Freeport", "Tit\u00e1n FreepQrt"), F.lit(" Visa Class: "), visa, F.lit(" Sponsor ID: "), sponsor, F.lit(" Arrival Date: 2026-05-01 Declared Purpose: field repair Packet "), case, F.lit(" / page 1"))
-    fee = F.concat(F.lit("MIB Fee Receipt Case ID: "), case, F.lit(" Fee Status: paid Amount: $"), F.when(k % 3 == 0, "0").otherwise("120.00"), F.lit(" Waiver Code: "), F.when(k % 6 == 0, "DIP-WAIVER").otherwise("N/A"))
+    intake = F.concat(F.lit("MIB Intake Form Case ID: "), case, F.lit(" Applicant: Zed Quill Species Code: "), _damaged(k, "ORION_GRAYS", "ORI0N_GRAYS"), _damaged(k, " Home World: ", " Home Workt: "), _damaged(k, "Titan Freeport", "Tit\u00e1n FreepQrt"), F.lit(" Visa Class: "), visa, F.lit(" Sponsor ID: "), sponsor, F.lit(" Arrival Date: 2026-05-01 Declared Purpose: field repair Packet "), case, F.lit(" / page 1"))
+    fee = F.concat(F.lit("MIB Fee Receipt Case ID: "), case, _damaged(k, " Fee Status: paid", " Foe Status: paid"), F.lit(" Amount: $"), F.when(k % 3 == 0, "0").otherwise("120.00"), F.lit(" Waiver Code: "), F.when(k % 6 == 0, "DIP-WAIVER").otherwise("N/A"))
     slip = F.concat(F.lit("Biometric Scan Slip Case ID: "), case, _damaged(k, "", " Applicant: (NAME CUT OLIT]"), F.lit(" Species Match: ORION_GRAYS Biometric confidence: 91% Observed flags: "), flags)
     rows = t(s, sf, "orders").select(case.alias("case_id"), F.posexplode(F.array(intake, fee, slip)).alias("page_number", "text"))
     return rows.withColumn("text_source", F.lit("native_text"))
@@ -524,7 +524,8 @@ def _(s, sf):
 @query("fuzzy_labels")
 def _(s, sf):
     """Fields behind damaged labels, per distinct page text; matching blocks have no SQL counterpart."""
-    text = F.concat(F.lit("Home Workt: Proxima-b Foe Status: paid Speeies Code ORION GRAYS Visa Clas: "), pick(F.col("p_size") % 5, vocab.VISA_CLASSES))
+    k = F.col("p_partkey")
+    text = F.concat(F.lit("Case ID: MIB-"), F.lpad((k % 1000000).cast("string"), 6, "0"), pick(k % 3, (" Home Workt: ", " Hcme World ", " Home World: ")), pick(k % 13, vocab.HOME_WORLDS), pick(k % 2, (" Foe Status: ", " Fee Statvs ")), pick(k % 4, vocab.FEE_STATUSES), F.lit(" Speeies Code ORION GRAYS Visa Clas: "), pick(F.col("p_size") % 5, vocab.VISA_CLASSES))
     d = t(s, sf, "part").select(text.alias("text")).distinct()
     m = d.select("text", labels.labelled_fields("text").alias("f"))
     return m.select("text", m.f["home_world"].alias("home_world"), m.f["fee_status"].alias("fee_status"), m.f["visa_class"].alias("visa_class"))

@@ -5,8 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.functions import normalize, similarity
-from caseloom.operators import derive, pages, resolve
+from caseloom.functions import labels, normalize, similarity
+from caseloom.operators import derive, pages, predict, resolve
 from caseloom.sources import readers, writers
 
 SCHEMA = "case_id string, page_number int, seq long, document_type string, text_source string, field string, normalized_value string"
@@ -109,3 +109,28 @@ def test_sources_and_sinks(spark, tmp_path):
 def test_best_matches(spark, field, raw, expected):
     rows = spark.createDataFrame([(1, field, raw), (2, field, None)], "n int, field string, raw_value string")
     assert [r["normalized_value"] for r in normalize.normalized(rows).orderBy("n").collect()] == [expected, None]
+
+
+@pytest.mark.parametrize(
+    ("kind", "text", "strict", "expected"),
+    [
+        ("fee_receipt", "MIB Fee Receipt Foe Status: unpaid Amount: $120.00", {"amount": "120.00"}, {"amount": "120.00", "fee_status": "unpaid"}),
+        ("intake_form", "Home Workt: Proxima-b Visa Class: XW-1", {"visa_class": "XW"}, {"home_world": "Proxima-b", "visa_class": "XW-1"}),
+        ("intake_form", "Declared Purpose: xencbotany | --| vat PO", {"declared_purpose": "xencbotany | --| vat PO"}, {"declared_purpose": "xenobotany"}),
+        ("fee_receipt", "Home Workt: Proxima-b", {}, {}),
+        ("biometric_slip", "Observed flags: active_warrant|biohazard_red", {"observed_flags": "active_warrant|biohazard_red"}, {"observed_flags": "active_warrant|biohazard_red"}),
+        ("unknown", "Foe Status: unpaid", {}, {"fee_status": "unpaid"}),
+    ],
+)
+def test_damaged_labels(kind, text, strict, expected):
+    assert labels.completed_fields(kind, text, strict) == expected
+
+
+def test_damaged_pages_reach_the_decision(spark):
+    rows = [
+        ("MIB-000001", 1, "MIB Intake Form Case ID: MIB-000001 Applicant: Zed Quill Species Code: ORION_GRAYS Home Workt: Titan Freeport Visa Class: XW-1 Sponsor ID: SPN-1234 Arrival Date: 2026-05-01 Declared Purpose: field repair Packet MIB-000001 / page 1", "native_text"),
+        ("MIB-000001", 2, "MIB Fee Receipt Case ID: MIB-000001 Foe Status: unpaid Waiver Code: N/A", "native_text"),
+        ("MIB-000002", 1, None, "none"),
+    ]
+    got = predict.predicted(spark.createDataFrame(rows, "case_id string, page_number int, text string, text_source string")).collect()
+    assert [(r.case_id, r.home_world, r.fee_status, r.adjudication) for r in got] == [("MIB-000001", "Titan Freeport", "unpaid", "DENIED")]
