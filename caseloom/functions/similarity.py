@@ -11,7 +11,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 
 def ratio(a: str, b: str) -> float:
@@ -47,6 +47,24 @@ def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+#: From this ratio on two readings are one value; or from this share of a case's value that a page's longer one holds.
+SAME, COVERED = 0.85, 0.80
+
+
+def alike(case_value: str, page_value: str) -> bool:
+    """Whether a page's value is the case's value read badly, in any case of letters."""
+    a, b = case_value.casefold().strip(), page_value.casefold().strip()
+    if not a or not b:
+        return False
+    m = SequenceMatcher(None, a, b)
+    return m.ratio() >= SAME or sum(x.size for x in m.get_matching_blocks()) / len(a) >= COVERED
+
+
+@F.pandas_udf(BooleanType())
+def alike_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([x is not None and y is not None and alike(x, y) for x, y in zip(a, b, strict=True)], dtype="bool")
+
+
 @F.pandas_udf(StringType())
 def without_accents(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unaccented(x))

@@ -29,13 +29,21 @@ def link_scores(page_values: DataFrame, case_values: DataFrame) -> DataFrame:
     """Best case per page: score, margin to the next, matched and conflicting fields.
 
     Both inputs are (packet, page_number | case_id, field, value). They meet on packet
-    and field, never across packets.
+    and field, never across packets. Names agree if they read alike (``alike_udf``),
+    which is tested once per distinct pair of names; all else agrees exactly.
     """
+    from ..functions.similarity import alike_udf
+
     weight = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in vocab.LINK_WEIGHTS.items() for x in kv]), F.col("field")), F.lit(0))
     penalty = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in vocab.LINK_PENALTIES.items() for x in kv]), F.col("field")), F.lit(0))
     pages = page_values.groupBy("packet", "page_number", "field").agg(F.collect_set("value").alias("page_set"))
     cases = case_values.groupBy("packet", "case_id", "field").agg(F.collect_set("value").alias("case_set"))
-    met = pages.join(cases, ["packet", "field"]).withColumn("same", F.arrays_overlap("page_set", "case_set"))
+    met = pages.join(cases, ["packet", "field"]).withColumn("equal", F.arrays_overlap("page_set", "case_set"))
+    unequal = met.where((F.col("field") == "applicant_name") & ~F.col("equal")).select("packet", "page_number", "case_id", "field", F.explode("page_set").alias("page_value"), "case_set")
+    unequal = unequal.withColumn("case_value", F.explode("case_set")).drop("case_set")
+    alike = unequal.select("case_value", "page_value").distinct().where(alike_udf("case_value", "page_value"))
+    near = unequal.join(alike, ["case_value", "page_value"]).select("packet", "page_number", "case_id", "field", F.lit(True).alias("near")).distinct()
+    met = met.join(near, ["packet", "page_number", "case_id", "field"], "left").withColumn("same", F.col("equal") | F.coalesce("near", F.lit(False)))
     scored = met.groupBy("packet", "page_number", "case_id").agg(
         F.sum(F.when(F.col("same"), weight).otherwise(-penalty)).alias("score"), F.count_if("same").alias("matched"),
         F.array_join(F.array_sort(F.collect_set(F.when(~F.col("same"), F.col("field")))), ",").alias("conflicts"),

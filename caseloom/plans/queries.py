@@ -351,10 +351,15 @@ def _(s, sf):
 
 @query("link_pages_to_cases")
 def _(s, sf):
-    """Pages of unknown case (every fifth line) against the cases of their packet; the scores are tested on a fixture."""
-    o = _normalized(s, sf).withColumn("packet", F.substring("case_id", 1, 8))
-    known = o.where("page_number % 5 <> 0").select("packet", "case_id", "field", F.col("normalized_value").alias("value"))
-    return identity.link_scores(o.where("page_number % 5 = 0").select("packet", F.concat_ws("-", "case_id", "page_number").alias("page_number"), "field", F.col("normalized_value").alias("value")), known)
+    """Pages of unknown case (every fifth line), their names with noise, against the cases of their packet; the scores are tested on a fixture."""
+    o = _normalized(s, sf).select("case_id", "page_number", "field", F.col("normalized_value").alias("value"))
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    name = F.concat_ws(" ", pick(k % 7, ("Oririx", "Zed", "Mo", "Ann", "Zevese", "Orikesh", "Tal")), pick(k % 11, ("Orivoss", "Quill", "Brask", "Bell", "Qorul", "Antari", "Venn", "Ul", "Dor", "Parque", "Stion")))
+    noisy = F.when(n % 2 == 1, F.concat(F.translate(name, "e", "c"), F.lit(' Spr~- "te.'))).otherwise(F.translate(name, "i", "l"))
+    names = t(s, sf, "lineitem").select(_case("l_orderkey").alias("case_id"), n.alias("page_number"), F.lit("applicant_name").alias("field"), F.when(n % 5 == 0, noisy).otherwise(name).alias("value"))
+    o = o.unionByName(names).withColumn("packet", F.substring("case_id", 1, 8))
+    known = o.where("page_number % 5 <> 0").select("packet", "case_id", "field", "value")
+    return identity.link_scores(o.where("page_number % 5 = 0").select("packet", F.concat_ws("-", "case_id", "page_number").alias("page_number"), "field", "value"), known)
 
 
 @query("vocab_best_match")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.functions import labels, normalize, similarity
-from caseloom.operators import derive, pages, predict, resolve
+from caseloom.operators import derive, identity, pages, predict, resolve
 from caseloom.sources import readers, writers
 
 SCHEMA = "case_id string, page_number int, seq long, document_type string, text_source string, field string, normalized_value string"
@@ -134,3 +134,14 @@ def test_damaged_pages_reach_the_decision(spark):
     ]
     got = predict.predicted(spark.createDataFrame(rows, "case_id string, page_number int, text string, text_source string")).collect()
     assert [(r.case_id, r.home_world, r.fee_status, r.adjudication) for r in got] == [("MIB-000001", "Titan Freeport", "unpaid", "DENIED")]
+
+
+@pytest.mark.parametrize(
+    ("written", "read", "expected"),
+    [("Oririx Orivoss", "Orirx Orivoss Spr~- \"te. URION_GRAYS", True), ("Zed Quill", "Zed Quil", True), ("Zed Quill", "ZED QUILL", True), ("Zed Quill", "Mo Brask", False), ("Zed Quill", "  ", False)],
+)
+def test_links_by_noisy_names(spark, written, read, expected):
+    page = [("p", "9", "applicant_name", read), ("p", "9", "species_code", "ARCTURIAN")]
+    case = [("p", "c", "applicant_name", "Someone Else"), ("p", "c", "applicant_name", written), ("p", "c", "species_code", "ARCTURIAN")]
+    r = identity.link_scores(spark.createDataFrame(page, "packet string, page_number string, field string, value string"), spark.createDataFrame(case, "packet string, case_id string, field string, value string")).first()
+    assert (r.score, r.matched, r.conflicts, r.safe) == ((8, 2, "", True) if expected else (-2, 1, "applicant_name", False))
