@@ -62,7 +62,8 @@ def near_established(pages: DataFrame, packet: str = "packet", case: str = "case
     per = pages.where(F.col(case).isNotNull()).groupBy(packet, case).agg(F.count(F.lit(1)).alias("pages"))
     lone = per.where("pages = 1").select(packet, F.col(case).alias("case_id"))
     known = per.where("pages > 1").select(packet, F.col(case).alias("assigned"))
-    # Only ids of one packet meet, and only those of like length.
-    met = lone.join(known, packet).where(F.abs(F.length("case_id") - F.length("assigned")) <= 2).withColumn("ratio", ratio_udf("case_id", "assigned")).where(F.col("ratio") >= least)
+    # Only ids of one packet meet, and only those whose lengths leave the ratio within reach.
+    a, b = F.length("case_id"), F.length("assigned")
+    met = lone.join(known, packet).where(2 * F.least(a, b) >= least * (a + b) - 1e-9).withColumn("ratio", ratio_udf("case_id", "assigned")).where(F.col("ratio") >= least)
     w = W.partitionBy(packet, "case_id").orderBy(F.desc("ratio"), "assigned")
     return met.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(packet, "case_id", "assigned")

@@ -539,7 +539,7 @@ def _(s, sf):
 @query("near_established_ids")
 def _(s, sf):
     """Ids seen once that read like an id seen often in the packet."""
-    p = t(s, sf, "lineitem").select(F.col("l_suppkey").alias("packet"), F.concat(F.lit("MIB-"), F.lpad((F.col("l_partkey") % 97).cast("string"), 6, "0")).alias("case_id"))
+    p = t(s, sf, "lineitem").select(F.col("l_suppkey").alias("packet"), _case("l_partkey").alias("case_id"))
     return identity.near_established(p)
 
 

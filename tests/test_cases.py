@@ -145,3 +145,9 @@ def test_links_by_noisy_names(spark, written, read, expected):
     case = [("p", "c", "applicant_name", "Someone Else"), ("p", "c", "applicant_name", written), ("p", "c", "species_code", "ARCTURIAN")]
     r = identity.link_scores(spark.createDataFrame(page, "packet string, page_number string, field string, value string"), spark.createDataFrame(case, "packet string, case_id string, field string, value string")).first()
     assert (r.score, r.matched, r.conflicts, r.safe) == ((8, 2, "", True) if expected else (-2, 1, "applicant_name", False))
+
+
+def test_near_ids_of_unlike_length(spark):
+    rows = [("p", "MIB-000557")] * 2 + [("p", "MIB-000557123"), ("p", "MIB-0005571234")]
+    got = identity.near_established(spark.createDataFrame(rows, "packet string, case_id string")).collect()
+    assert [tuple(r) for r in got] == [("p", "MIB-000557123", "MIB-000557")]
