@@ -10,8 +10,10 @@ likelihood of labelled pages, whose gradient is observed minus expected features
 the latter from the same messages. No table has such labels, so the pages are
 written here from templates with every kind of part labelled (``labelled_pages``).
 
-Inline elements belong to the block around them. Scripts, styles, heads, controls
-and comments never become text. Character references are decoded, white space in a
+Inline elements belong to the block around them. Scripts, styles, titles, drawings,
+controls and comments never become text; a head has nothing else, and ends without
+its tag at the first text or element of the body. A control without an end tag loses
+its start tag alone. Character references are decoded, white space in a
 block becomes one space, blocks are joined in page order by one space; a page cut
 off in a tag loses that tag alone.
 
@@ -35,9 +37,14 @@ from pyspark.sql import functions as F
 from .common import table
 
 # Elements by their role in HTML.
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+# MathML stands in lines as well.
+MATH = set("math annotation menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+INLINE = MATH | set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = "script|style|noscript|template|svg|iframe|textarea|select|button|title|head|object|canvas|audio|video|math"
+#: Their content is no markup: it runs to the end tag, or to the end of the page.
+RAW = "script|style|iframe|noframes|textarea|title"
+#: Dropped with all that they hold; without an end tag only the start tag goes.
+DROPPED = "noscript|template|select|button|object|canvas|audio|video"
 SECTIONS = set("nav header footer aside form section article main div ul ol table dl figure".split())
 KINDS = "html body article main section div p heading list item nav header footer aside form table quote other".split()
 AROUND = frozenset("article main nav header footer aside form".split())
@@ -53,10 +60,13 @@ WORDS = {
     "hidden": r"display:\s*none|visibility:\s*hidden|\bhidden\b",
 }
 _WORDS = [(k, re.compile(v, re.I)) for k, v in WORDS.items()]
+_ATTRS = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({DROPPED})(?=[\s>/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    rf"|<({RAW})(?=[\s>/]){_ATTRS}>.*?(?:</\1\s*>|\Z)"
+    rf"|<svg(?=[\s>/])(?:{_ATTRS}(?<=/)>|{_ATTRS}>.*?</svg\s*>)"
+    rf"|<({DROPPED})(?=[\s>/]){_ATTRS}>.*?</\2\s*>"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRS})(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -95,24 +105,26 @@ class Page:
                 if links:
                     self.linked[stack[-1]] += len(text)
             at = m.end()
-            name = m[3]
+            name = m[4]
             if name is None:
                 continue
             name = name.lower()
             if name in INLINE:
                 if name == "a":
-                    links = 0 if m[2] else 1
+                    links = 0 if m[3] else 1
                 continue
             if name in VOID:
                 held.append(" ")
                 continue
             flush()
             links = 0
-            if m[2]:
+            if m[3]:
                 depth = next((i for i in range(len(stack) - 1, 0, -1) if self.tags[stack[i]] == name), 0)
                 if depth:
                     del stack[depth:]
                 continue
+            if name == "head":
+                continue
             if name in ("html", "body") and any(self.tags[i] == name for i in stack):
                 continue
             if self.tags[stack[-1]] == "p" and len(stack) > 1:
@@ -121,7 +133,7 @@ class Page:
             while closes and len(stack) > 1 and self.tags[stack[-1]] in closes:
                 stack.pop()
             self.tags.append(name)
-            self.marks.append(" ".join((a.strip("\"'") or b) for a, b in _MARKS.findall(m[4])) if m[4] else "")
+            self.marks.append(" ".join((a.strip("\"'") or b) for a, b in _MARKS.findall(m[5])) if m[5] else "")
             self.parent.append(stack[-1])
             self.linked.append(0)
             stack.append(len(self.tags) - 1)

@@ -174,6 +174,22 @@ PAGES = [
 ]
 
 
+@pytest.mark.parametrize(
+    ("source", "expected"),
+    [
+        ("<html><head><title>T</title><body><article><p>Hello there, this is text.</p></article>", "Hello there, this is text."),
+        ("<head><title>T</title><meta charset=x><article><p>Hello there, this is text.</p></article>", "Hello there, this is text."),
+        ("<html><head><title>T</title><style>p{}</style></head><body><article><p>Hello there.</p></article></body></html>", "Hello there."),
+        ("<article><p>One here.</p><svg class='i'/><p>Two here.</p><svg class='j'><text>no</text></svg><p>Three here.</p></article>", "One here. Two here. Three here."),
+        ("<article><p>One here.</p><svg viewBox='0'><p>Two here.</p></article>", "One here. Two here."),
+        ("<article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> here.</p></article>", "Energy is E=m here."),
+        ("<article><p>One here.</p><button>no</button><select><p>Two here.</p></article>", "One here. Two here."),
+    ],
+)
+def test_pages_without_end_tags(source, expected):
+    assert pages.main_text(source, pages.default_model()) == expected
+
+
 def test_pages(spark):
     model = pages.default_model()
     df = spark.createDataFrame([(i, "u", h, "x") for i, h, _ in PAGES], "page_id long, url string, html string, text string")
