@@ -9,11 +9,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caseloom.llm import language, neardup, packing, quality
 from caseloom.llm.common import checkpointed, table
 
 
+ROW = "_row"
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under the threshold go; without labels all score 0.5 and stay."""
     return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -25,11 +29,17 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document of least id stays. Rows of one id stay or go together; rows without an id stay."""
-    found = neardup.linked_components(docs)
-    gone = checkpointed(found.where("NOT kept").select("doc_id").distinct())
+    """Of each component of near-duplicate rows one stays: the row of least id, one without an id only if none has one."""
+    rows = checkpointed(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    # The number of a row stands for it, so that rows of one id or of none are told apart.
+    found = neardup.linked_components(rows, id_col=ROW).where("n_shingles > 0").select(F.col("doc_id").alias(ROW), "component_id")
+    first = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col(ROW).alias("r"))
+    member = checkpointed(found.join(rows.select(ROW, "doc_id"), ROW).select("component_id", ROW, first.alias("first")))
+    kept = checkpointed(member.groupBy("component_id").agg(F.min("first").alias("kept"), F.count(F.lit(1)).alias("size")).where("size > 1"))
+    small = kept.count() <= neardup.BROADCAST_IDS
+    gone = checkpointed(member.join(kept.hint("broadcast") if small else kept, "component_id").where(f"{ROW} <> kept.r").select(ROW))
     few = gone.count() <= neardup.BROADCAST_IDS
-    return docs.join(gone.hint("broadcast") if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    return rows.join(gone.hint("broadcast") if few else gone, ROW, "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

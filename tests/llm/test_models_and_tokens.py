@@ -249,3 +249,10 @@ def test_pipeline_takes_hard_rows_and_empty_tables(spark):
                 docs = spark.createDataFrame(out.collect(), schema)
             else:
                 assert out.count() >= docs.count() * bool(rows)
+
+
+def test_neardup_stage_tells_rows_apart(spark):
+    text, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(5, text, "a"), (5, text, "b"), (None, text, "c"), (3, text, "d"), (5, other, "e"), (None, other, "f"), (None, "", "g"), (None, "", "h")]
+    got = corpus_pipeline.neardup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()
+    assert sorted(r.source for r in got) == ["d", "e", "g", "h"]
