@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _shared(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where none is configured (tests, notebooks)."""
+    """The cluster's ``spark.checkpoint.dir``. On one machine without that setting a folder of our own; on a cluster such a folder would be the driver's alone."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         given = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not given and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="caseloom-checkpoint-"))
     return sc.getCheckpointDir()
 
@@ -41,6 +50,37 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of text that a task turns into Python strings at a time, unless one text has more.
+BLOCK_BYTES = 1 << 18
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts, in the column of this number, have at most ``BLOCK_BYTES`` together."""
+    for batch in batches:
+        sizes = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy()
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BLOCK_BYTES, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def crc_fold(key: Column) -> Column:
     """crc32 of a key written as text, modulo 5; fold 0 is held out. A null key falls in fold 0."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5, F.lit(0))
+
+
+def trained(sample: DataFrame, train: Callable[[list[dict]], Any]) -> Any:
+    """What ``train`` makes of the rows of a bounded sample, or None if there are none.
+
+    The sample meets in one task and only the model comes to the driver. A task's
+    Python has one thread for matrix products, whatever the driver's settings.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(rows))], pa.binary())], names=["model"])
+
+    found = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None

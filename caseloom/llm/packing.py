@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import checkpointed, table
+from .common import checkpointed, slices, table
+from .tokens import json_encoder
 
 SEQUENCE, GRAIN, END_ID = 2048, 8, 1
 BINS = SEQUENCE // GRAIN
@@ -46,10 +47,8 @@ _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 def _cutter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .tokens import JsonEncoder
-
-        encoder = JsonEncoder(path)
-        for batch in batches:
+        encoder = json_encoder(path)
+        for batch in slices(batches, 1):
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.array([*encoder.encode(text or ""), END_ID], "<u4").tobytes()
@@ -81,6 +80,26 @@ def best_pattern(prices: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     return float(best[capacity]), counts
 
 
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """A product by plain vector operations: threaded BLAS and LAPACK may not return beside a started JVM."""
+    return (matrix * vector).sum(1)
+
+
+def _inverted(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination with the largest pivot, by plain vector operations."""
+    m = len(matrix)
+    a = np.hstack((matrix, np.eye(m)))
+    for i in range(m):
+        top = i + int(np.abs(a[i:, i]).argmax())
+        if top != i:
+            a[[i, top]] = a[[top, i]]
+        a[i] /= a[i, i]
+        factor = a[:, i].copy()
+        factor[i] = 0
+        a -= np.outer(factor, a[i])
+    return a[:, m:]
+
+
 def solve_patterns(demand: np.ndarray, capacity: int = BINS) -> list[tuple[np.ndarray, float]]:
     """The linear program: patterns and how often each is cut, covering the demand per size with least sequences."""
     sizes = np.flatnonzero(demand)
@@ -92,8 +111,8 @@ def solve_patterns(demand: np.ndarray, capacity: int = BINS) -> list[tuple[np.nd
     for i, s in enumerate(sizes):
         columns[i, i] = capacity // (s + 1)
     inverse = np.diag(1 / np.diag(columns))
-    x = inverse @ need
-    material = float(need @ (sizes + 1)) / capacity  # no packing needs less
+    x = _times(inverse, need)
+    material = float((need * (sizes + 1)).sum()) / capacity  # no packing needs less
     for step in range(1, _ROUNDS):
         if float(x.sum()) <= material * (1 + GAP):
             break
@@ -104,7 +123,7 @@ def solve_patterns(demand: np.ndarray, capacity: int = BINS) -> list[tuple[np.nd
         if value <= 1 + GAP:
             break
         column = counts[sizes].astype(float)
-        d = inverse @ column
+        d = _times(inverse, column)
         ratio = np.full(m, np.inf)
         ratio[d > 1e-9] = x[d > 1e-9] / d[d > 1e-9]
         out = int(ratio.argmin())
@@ -119,8 +138,8 @@ def solve_patterns(demand: np.ndarray, capacity: int = BINS) -> list[tuple[np.nd
             rest = np.arange(m) != out
             inverse[rest] -= np.outer(d[rest], inverse[out])
         else:
-            inverse = np.linalg.inv(columns)
-            x = np.maximum(inverse @ need, 0)
+            inverse = _inverted(columns)
+            x = np.maximum(_times(inverse, need), 0)
     out_patterns = []
     for j in range(m):
         if x[j] > 1e-9:

@@ -39,9 +39,8 @@ class JsonEncoder:
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
+        self.path, self.whole = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [a["content"] for a in spec.get("added_tokens", [])]
@@ -51,5 +50,20 @@ class JsonEncoder:
 
     def encode(self, text: str) -> list[int]:
         if any(s in text for s in self.special) or not text.isascii() and _BEYOND_LATIN.search(text):
+            if self.whole is None:
+                from tokenizers import Tokenizer
+
+                self.whole = Tokenizer.from_file(self.path)
             return self.whole.encode(text, add_special_tokens=False).ids
         return self.plain.encode_ordinary(text)
+
+
+_ENCODERS: dict[str, JsonEncoder] = {}
+
+
+def json_encoder(path: str) -> JsonEncoder:
+    """The encoder of a file, one per process."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = JsonEncoder(path)
+    return _ENCODERS[path]
