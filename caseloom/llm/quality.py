@@ -5,11 +5,13 @@ the shares of its bytes by kind, of pairs of kinds, and of its repeated lines; a
 dense layer gives its representation h. Gated attention, softmax over
 w . (tanh(V h) * sigmoid(U h)), weighs the passages, and a logistic unit scores the
 weighted representation. All weights are learned from document labels alone, by
-Adam on the log loss, in numpy on the driver.
+Adam on the log loss, in numpy in one task.
 
-Training reads at most ``SAMPLE`` labelled documents (those of least id hash) and at
-most ``SAMPLE_PASSAGES`` evenly spaced passages of each; that is the documented
-bound of the sample. Scoring reads every passage of every text.
+Training reads at most ``SAMPLE`` labelled documents (those of least id hash), of
+rows that share an id one, and at most ``SAMPLE_PASSAGES`` evenly spaced passages of
+each; that is the documented bound of the sample. Scoring reads every passage of
+every text; a very long text takes memory for its features, about the size of its
+bytes, and no more.
 
 Defined results: a null or empty text is one empty passage and gets a score;
 repeated rows and ids each give a row, a null id is in the held-out fold; labels
@@ -27,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, table
+from .common import BLOCK_BYTES, crc_fold, slices, table, trained
 
 PASSAGE = 768
+#: Passages whose bytes are counted at a time.
+SLICE = 256
 #: Shares in passages of fewer bytes are taken of this many, so that a few words say little.
 SHORT = 64
 SAMPLE, SAMPLE_PASSAGES = 4000, 24
@@ -39,7 +43,7 @@ THRESHOLD = 0.3
 
 def _kinds() -> tuple[np.ndarray, np.ndarray]:
     """Per byte its fine kind (each ASCII mark its own) and its coarse kind."""
-    fine, coarse = np.zeros(256, np.int64), np.zeros(256, np.int64)
+    fine, coarse = np.zeros(256, np.int32), np.zeros(256, np.int32)
     marks = [b for b in range(33, 127) if not chr(b).isalnum()]
     for b in range(256):
         c = chr(b)
@@ -76,18 +80,25 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     first = np.cumsum(counts) - counts
     total = int(counts.sum())
     out = np.zeros((total, N_FEATURES), np.float32)
-    a = np.frombuffer(b"".join(data), np.uint8)
-    start = np.cumsum(sizes) - sizes
-    doc_start = np.repeat(start, sizes)
-    at = np.arange(len(a))
-    p = np.repeat(first, sizes) + (at - doc_start) // PASSAGE
-    length = np.bincount(p, minlength=total).astype(np.float32)
+    place = np.arange(total) - np.repeat(first, counts)
+    length = np.minimum(PASSAGE, np.repeat(sizes, counts) - place * PASSAGE)
     pairs, fine = N_COARSE * N_COARSE, N_FINE
-    coarse = COARSE[a]
-    prev = np.concatenate(([5], coarse[:-1])) if len(a) else coarse
-    out[:, :pairs] = np.bincount(p * pairs + prev * N_COARSE + coarse, minlength=total * pairs).reshape(total, pairs)
-    out[:, pairs : pairs + fine] = np.bincount(p * fine + FINE[a], minlength=total * fine).reshape(total, fine)
-    out[:, : pairs + fine] = np.sqrt(out[:, : pairs + fine] / np.maximum(length, SHORT)[:, None])
+    a = np.frombuffer(b"".join(data), np.uint8)
+    ends = np.cumsum(length)
+    for lo in range(0, total, SLICE):
+        hi = min(total, lo + SLICE)
+        start = int(ends[lo] - length[lo])
+        part = a[start : int(ends[hi - 1])]
+        p = np.repeat(np.arange(hi - lo, dtype=np.int32), length[lo:hi])
+        kind = COARSE[part]
+        prev = np.empty_like(kind)
+        prev[1:] = kind[:-1]
+        heads = ends[lo:hi] - length[lo:hi] - start
+        whole = length[lo:hi] > 0
+        prev[heads[whole]] = np.where(place[lo:hi][whole] > 0, COARSE[a[ends[lo:hi][whole] - length[lo:hi][whole] - 1]], 5)
+        out[lo:hi, :pairs] = np.bincount(p * pairs + prev * N_COARSE + kind, minlength=(hi - lo) * pairs).reshape(hi - lo, pairs)
+        out[lo:hi, pairs : pairs + fine] = np.bincount(p * fine + FINE[part], minlength=(hi - lo) * fine).reshape(hi - lo, fine)
+    out[:, : pairs + fine] = np.sqrt(out[:, : pairs + fine] / np.maximum(length, SHORT).astype(np.float32)[:, None])
     out[:, pairs + fine + 1] = length / PASSAGE
     out[:, pairs + fine + 2] = length == 0
     for i, b in enumerate(data):
@@ -184,7 +195,7 @@ def score(model: dict | None, texts: list[str | None]) -> np.ndarray:
     at = 0
     while at < len(texts):
         to, size = at, 0
-        while to < len(texts) and (to == at or size + sizes[to] <= 2_000_000):
+        while to < len(texts) and (to == at or size + sizes[to] <= BLOCK_BYTES):
             size += sizes[to]
             to += 1
         x, counts = passages([t or "" for t in texts[at:to]])
@@ -194,7 +205,7 @@ def score(model: dict | None, texts: list[str | None]) -> np.ndarray:
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1):
         rows = []
         for doc, text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             x, _ = passages([text or ""])
@@ -210,18 +221,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where((crc_fold(F.col("doc_id")) != 0) & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = src.join(F.broadcast(known), "doc_id").select("doc_id", "text", "y").mapInArrow(_featured, "doc_id long, y int, x binary").collect()
-    if not rows:
-        return None
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["x"]))
+    rows = src.join(F.broadcast(known), "doc_id").select("doc_id", "text", "y").mapInArrow(_featured, "doc_id long, y int, x binary")
+    return trained(rows.groupBy("doc_id", "y").agg(F.min("x").alias("x")), _fitted)
+
+
+def _fitted(rows: list[dict]) -> dict:
+    rows = sorted(rows, key=lambda r: r["doc_id"])
     bags = [np.frombuffer(r["x"], np.float16).reshape(-1, N_FEATURES).astype(np.float32) for r in rows]
     return train(np.concatenate(bags), np.array([len(b) for b in bags]), np.array([r["y"] for r in rows], np.float32))
 
 
 def _scorer(model: dict | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s = score(model, batch.column(batch.schema.get_field_index("text")).to_pylist())
+        for batch in slices(batches, 2):
+            s = score(model, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64())], names=["doc_id", "held_out", "score"])
 
     return run
