@@ -70,6 +70,16 @@ def test_packing_plan_is_tight(seed):
     assert len(used) <= 1.01 * -(-sum(used.values()) // 256) + 2
 
 
+def test_packing_plans_beside_a_started_session(spark):
+    """With bins enough for many steps of the simplex; the inverse of a basis is the one of numpy."""
+    assert spark.range(1000).selectExpr("sum(id) AS s").first().s == 499500
+    r = np.random.default_rng(9)
+    demand = np.bincount(r.integers(0, 256, 3000), minlength=256)
+    assert sum(len(t) for t in packing.plan(demand).values()) >= 200
+    a = r.normal(size=(40, 40))
+    assert np.allclose(packing._inverted(a) @ a, np.eye(40))
+
+
 def test_bpe(spark):
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=tokens.ranks(MULTI), special_tokens={})
     expected = []
@@ -116,6 +126,59 @@ def test_attention_gradient():
     assert ((p > 0.5) == y).mean() > 0.9
 
 
+def plain_quality(m, text):
+    """The score of one text, passage by passage and unit by unit."""
+    data, passages, seen = (text or "").encode(), [], set()
+    for at in range(0, max(1, len(data)), quality.PASSAGE):
+        part = data[at : at + quality.PASSAGE]
+        f = np.zeros(quality.N_FEATURES)
+        before = 5 if at == 0 else quality.COARSE[data[at - 1]]
+        for byte in part:
+            f[before * quality.N_COARSE + quality.COARSE[byte]] += 1
+            f[quality.N_COARSE**2 + quality.FINE[byte]] += 1
+            before = quality.COARSE[byte]
+        f = np.sqrt(f / max(len(part), quality.SHORT))
+        words = part.split()
+        f[-3], f[-2], f[-1] = len(part) / quality.PASSAGE, len(part) == 0, 1 - len(set(words)) / len(words) if len(words) > 8 else 0
+        passages.append(f)
+    at = 0
+    for line in data.split(b"\n") if data.count(b"\n") > 1 else []:
+        if len(line) > 3:
+            passages[at // quality.PASSAGE][-4] += len(line) / quality.PASSAGE * (line in seen)
+            seen.add(line)
+        at += len(line) + 1
+    hs, es = [], []
+    for f in passages:
+        f[-4] = min(4, f[-4])
+        h = np.tanh((f - m["mean"]) * m["scale"] @ m["W"] + m["b"])
+        hs.append(h)
+        es.append(float((np.tanh(h @ m["V"]) / (1 + np.exp(-(h @ m["U"])))) @ m["w"]))
+    att = np.exp(np.array(es) - max(es))
+    z = (att / att.sum()) @ np.array(hs)
+    return 1 / (1 + np.exp(-float(z @ m["o"] + m["c"][0])))
+
+
+def test_quality_scores_match_a_plain_forward_pass():
+    texts = [None, "", "a", "Two lines.\nTwo lines.\nTwo lines.\nand more é!", "x" * 5000, "word and word, " * 9000, *[t for _, t in HARD]]
+    x, counts = quality.passages([t or "" for t in texts])
+    m = quality.train(x, counts, np.arange(len(texts)) % 2.0)
+    one = [float(quality.score(m, [t])[0]) for t in texts]
+    assert np.allclose(quality.score(m, texts), one, atol=1e-5)
+    assert np.allclose(one, [plain_quality(m, t) for t in texts], atol=1e-4)
+
+
+def test_a_sampled_id_brings_one_row(spark):
+    docs = spark.range(4000).selectExpr("id % 2 AS doc_id", "concat('text ', id) AS text", "'en' AS lang").repartition(4)
+    seen = []
+    fitted = quality._fitted, language._fitted
+    try:
+        quality._fitted = language._fitted = lambda rows: len(rows)
+        seen = quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(2)], "doc_id long, quality int")), language.fit(docs)
+    finally:
+        quality._fitted, language._fitted = fitted
+    assert seen == (sum(not held_out(i) for i in range(2)),) * 2
+
+
 def test_language(spark, monkeypatch):
     monkeypatch.setattr(language, "SAMPLE", 600)
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -129,42 +192,73 @@ def test_language(spark, monkeypatch):
     assert {r.lang_pred for r in language.identified(frame(spark), None).collect()} == {"und"}
 
 
-def test_gru_gradient():
-    """Backpropagation through time against finite differences."""
-    words, langs = [b"abc", b"de", b"fghi"], np.array([0, 1, 0])
-    r = np.random.default_rng(3)
+def random_network(r, languages=2):
     H = language.HIDDEN
-    m = {"E": r.normal(0, 0.5, (256, language.EMBED)), "O": r.normal(0, 0.5, (2 * H, 2)), "o": np.zeros(2)}
+    m = {"E": r.normal(0, 0.5, (256, language.EMBED)), "O": r.normal(0, 0.5, (2 * H, languages)), "o": r.normal(0, 0.3, languages)}
     for d in "fb":
-        m |= {"Wx" + d: r.normal(0, 0.3, (language.EMBED, 3 * H)), "bx" + d: np.zeros(3 * H), "Wh" + d: r.normal(0, 0.3, (H, 3 * H))}
-    x, lengths = language._padded(words)
+        m |= {"Wx" + d: r.normal(0, 0.3, (language.EMBED, 3 * H)), "bx" + d: r.normal(0, 0.3, 3 * H), "Wh" + d: r.normal(0, 0.3, (H, 3 * H))}
+    return m
 
-    def states():
-        both, mask, y, bf, bb, at = language._states(m, x, lengths, True)
-        return both, mask, y, bf, bb, at
+
+def test_gru_gradient():
+    """Backpropagation through time against finite differences."""
+    data, langs = [b"abc", b"de", b"fg hi"], np.array([0, 1, 0])
+    m = random_network(np.random.default_rng(3))
+    x, lengths = language._padded(data)
 
     def loss():
-        both, mask, *_ = states()
+        both, mask, *_ = language._states(m, x, lengths, True)
         logp = language._log_softmax(both @ m["O"] + m["o"])
-        return -float((logp[:, np.arange(3), langs] * mask.T).sum() / mask.sum())
-
-    both, mask, y, bf, bb, at = states()
-    p = np.exp(language._log_softmax(both @ m["O"] + m["o"]))
-    p[:, np.arange(3), langs] -= 1
-    p *= (mask / mask.sum()).T[:, :, None]
-    dboth, grad = p @ m["O"].T, {}
-    turned = np.zeros_like(dboth[:, :, H:])
-    np.add.at(turned, (at, np.arange(3)), dboth[:, :, H:] * mask.T[:, :, None])
-    language._back_gru(m, "f", x, mask, dboth[:, :, :H], bf, grad)
-    language._back_gru(m, "b", y, mask, turned, bb, grad)
-    for k, i in (("Whf", (2, 5)), ("Whb", (1, 40)), ("Wxf", (3, 7)), ("bxb", (20,)), ("E", (ord("b"), 2))):
+        return -float((logp[:, np.arange(3), langs] * mask).sum() / mask.sum())
+
+    grad = language._gradients(m, x, lengths, langs)
+    for k, i in (("Whf", (2, 5)), ("Whb", (1, 25)), ("Wxf", (3, 7)), ("bxb", (20,)), ("E", (ord("b"), 2)), ("O", (3, 1)), ("o", (0,))):
         old = m[k][i]
-        m[k][i] = old + 1e-2
+        m[k][i] = old + 1e-4
         up = loss()
-        m[k][i] = old - 1e-2
+        m[k][i] = old - 1e-4
         down = loss()
         m[k][i] = old
-        assert abs((up - down) / 2e-2 - float(grad[k][i])) < 2e-3, k
+        assert abs((up - down) / 2e-4 - float(grad[k][i])) < 1e-5, k
+
+
+def plain_labels(m, data):
+    """Log-probabilities of every position of one run of bytes, step by step."""
+    H, sigmoid, states = language.HIDDEN, lambda v: 1 / (1 + np.exp(-v)), {}
+    for d, run in (("f", data), ("b", data[::-1])):
+        h, seen = np.zeros(H), []
+        for byte in run:
+            x, y = m["E"][byte] @ m["Wx" + d] + m["bx" + d], h @ m["Wh" + d]
+            z, r = sigmoid(x[:H] + y[:H]), sigmoid(x[H : 2 * H] + y[H : 2 * H])
+            h = z * h + (1 - z) * np.tanh(x[2 * H :] + r * y[2 * H :])
+            seen.append(h)
+        states[d] = seen if d == "f" else seen[::-1]
+    e = np.concatenate((states["f"], states["b"]), 1) @ m["O"] + m["o"]
+    return e - np.log(np.exp(e).sum(1, keepdims=True))
+
+
+def test_language_matches_a_plain_forward_pass(monkeypatch):
+    """Windows, both layouts of the network, pooling and the rule for und."""
+    monkeypatch.setattr(language, "OWN", 20)
+    monkeypatch.setattr(language, "EDGE", 6)
+    monkeypatch.setattr(language, "GROUP", 5)
+    m = random_network(np.random.default_rng(8), 3) | {"langs": ["aa", "bb", "cc"]}
+    texts = ["a", "der Hund läuft", "one two three four five six seven eight nine ten", "été " * 40, "中文字 " * 9, "x" * 41]
+    names, scores = language.predict(m, [*texts, None, "", "12 ½ ² Ⅷ _ -", "ªb"])
+    assert names[-4:-1] == ["und"] * 3 and list(scores[-4:-1]) == [0, 0, 0] and names[-1] != "und"
+    for text, name, score in zip(texts, names, scores, strict=False):
+        data, total = text.encode(), np.zeros(3)
+        for at in range(0, len(data), 20):
+            lead = min(6, at)
+            total += plain_labels(m, data[at - lead : at + 26])[lead : lead + 20].sum(0)
+        e = np.exp(total / len(data) * min(language.EVIDENCE, max(1, len(data) / language.GRAIN)))
+        assert name == m["langs"][int(e.argmax())] and abs(score - e.max() / e.sum()) < 1e-4
+    x, lengths = language._padded([t.encode() for t in texts])
+    both, *_ = language._states(m, x, lengths, False)
+    steps = np.ascontiguousarray(x.T).astype(np.intp)
+    fast = language._logits(m, "f", steps, lengths) + language._logits(m, "b", steps, lengths)
+    for i, n in enumerate(lengths):
+        assert np.allclose(fast[:n, :, i], (both @ m["O"])[:n, i], atol=1e-4)
 
 
 PAGES = [
