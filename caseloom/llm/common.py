@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared(spark: SparkSession) -> str:
+def shared(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``. On one machine without that setting a folder of our own; on a cluster such a folder would be the driver's alone."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
@@ -34,7 +34,7 @@ def _shared(spark: SparkSession) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
-    _shared(df.sparkSession)
+    shared(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -45,9 +45,19 @@ def written(df: DataFrame) -> DataFrame:
     round, where they multiply; a table starts without any.
     """
     spark = df.sparkSession
-    path = f"{_shared(spark)}/{uuid.uuid4().hex}.parquet"
+    path = f"{shared(spark)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table_ = spark.read.schema(df.schema).parquet(path)
+    table_._written = path
+    return table_
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that no other DataFrame in use reads any more."""
+    for t in tables:
+        jvm, sc = t.sparkSession._jvm, t.sparkSession.sparkContext
+        path = jvm.org.apache.hadoop.fs.Path(t._written)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Bytes of text that a task turns into Python strings at a time, unless one text has more.
@@ -65,6 +75,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Record
             at = to
 
 
+def one_column(values: pa.Array) -> Iterator[pa.RecordBatch]:
+    """An array, as an Arrow function gets it, as the batches that ``slices`` takes."""
+    yield pa.RecordBatch.from_arrays([values], names=["value"])
+
+
 def crc_fold(key: Column) -> Column:
     """crc32 of a key written as text, modulo 5; fold 0 is held out. A null key falls in fold 0."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5, F.lit(0))
