@@ -19,11 +19,20 @@ def ratio(a: str, b: str) -> float:
 
 
 def best(value: str | None, vocabulary: tuple[str, ...], least: float, margin: float, fold=None) -> str | None:
-    """The entry of highest ratio, if it is high enough and far enough ahead of the next."""
+    """The entry of highest ratio, if it is high enough and far enough ahead of the next.
+
+    An entry whose ratio cannot come within the margin of the least neither wins nor
+    stands in the way, so only the others are compared in full.
+    """
     if value is None:
         return None
     fold = fold or (lambda x: x)
-    scores = sorted(((ratio(fold(value), fold(c)), c) for c in vocabulary), reverse=True)
+    own, floor, scores = fold(value), least - margin - 1e-9, []
+    for c in vocabulary:
+        m = SequenceMatcher(None, own, fold(c))
+        if m.real_quick_ratio() >= floor and m.quick_ratio() >= floor:
+            scores.append((m.ratio(), c))
+    scores.sort(reverse=True)
     if not scores or scores[0][0] < least or len(scores) > 1 and scores[0][0] - scores[1][0] < margin:
         return None
     return scores[0][1]

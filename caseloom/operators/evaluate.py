@@ -21,9 +21,9 @@ def last_wins(df: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def class_points(truth: Column, pred: Column) -> Column:
-    """Points of a decision; the order of the tests matters."""
+    """Points of a decision; the order of the tests matters, and what is no decision gets none."""
     return (
-        F.when(truth == pred, 8).when((truth == "DENIED") & (pred == "APPROVED"), -4).when((truth != "NEEDS_REVIEW") & (pred == "NEEDS_REVIEW"), 2)
+        F.when(~pred.isin(*vocab.DECISIONS), 0).when(truth == pred, 8).when((truth == "DENIED") & (pred == "APPROVED"), -4).when(pred == "NEEDS_REVIEW", 2)
         .when(truth == "NEEDS_REVIEW", 1).otherwise(0)
     )
 
@@ -35,6 +35,62 @@ def flags_key(x: Column) -> Column:
     return F.when(v.isin("", "none", "null", "unknown"), "none").otherwise(F.array_join(parts, "|"))
 
 
+def flag_set(x: Column) -> Column:
+    """The distinct parts of a list; none and null are no parts, unknown is one."""
+    v = folded(x)
+    return F.when(v.isin("", "none", "null"), F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(F.filter(F.transform(F.split(v, r"\|"), lambda p: F.trim(p)), lambda p: p != ""))))
+
+
+def parsed_confidence(x: Column) -> Column:
+    """Struct of the confidence and whether it is valid: a number from 0 to 1, else 0."""
+    v = x.cast("string").try_cast("double")
+    fine = F.coalesce(v.between(0, 1) & ~F.isnan(v), F.lit(False))
+    return F.struct(F.when(fine, v).otherwise(0.0).alias("value"), fine.alias("valid"))
+
+
+def case_scores(pairs: DataFrame, fields: dict[str, int] = vocab.FIELD_WEIGHTS) -> DataFrame:
+    """One row per case with all that its score is made of.
+
+    ``pairs`` has case_id, truth_<field> and pred_<field>, truth_adjudication,
+    pred_adjudication, pred_confidence as written, present, unrecoverable (a list
+    with bars) and traps.
+    """
+    lost = flag_set(F.col("unrecoverable"))
+    results = F.array(*[_field_result(n, w, lost) for n, w in fields.items()])
+    truth, pred = F.upper(F.trim(F.coalesce("truth_adjudication", F.lit("")))), F.upper(F.trim(F.coalesce("pred_adjudication", F.lit(""))))
+    sure, here = parsed_confidence(F.col("pred_confidence")), F.col("present")
+    right = F.when(truth == pred, 1.0).otherwise(0.0)
+    reason = (
+        F.when(~here, "missing_case").when(~pred.isin(*vocab.DECISIONS), "invalid_or_blank").when(truth == pred, "correct").when((truth == "DENIED") & (pred == "APPROVED"), "catastrophic_false_approval")
+        .when(pred == "NEEDS_REVIEW", "conservative_review").when(truth == "NEEDS_REVIEW", "missed_review").otherwise("wrong_decision")
+    )
+    sums = lambda name: F.aggregate("field_results", F.lit(0).cast("bigint"), lambda a, r: a + r[name])
+    c = pairs.withColumn("field_results", results)
+    return c.select(
+        "case_id", "present", truth.alias("truth_adjudication"), F.when(here, pred).otherwise("MISSING").alias("pred_adjudication"), "field_results",
+        sums("points").alias("extraction_raw"), sums("max_points").alias("extraction_max_raw"), F.when(here, class_points(truth, pred)).otherwise(0).alias("classification_raw"), F.lit(vocab.CLASS_RAW).alias("classification_max_raw"), reason.alias("classification_reason"),
+        F.when(here, pred.isin(*vocab.DECISIONS)).alias("adjudication_valid"), (here & (truth == "DENIED") & (pred == "APPROVED")).alias("catastrophic_false_approval"),
+        F.when(here, sure["value"]).alias("confidence"), F.when(here, sure["valid"]).alias("confidence_valid"), F.when(here & sure["valid"], F.pow(sure["value"] - right, 2)).when(here, 1.0).alias("confidence_brier"),
+        F.when(here, F.trim(F.coalesce("pred_fee_status", F.lit(""))).isin(*vocab.FEE_STATUSES)).alias("fee_status_valid"), (F.size(flag_set(F.col("traps"))) > 0).alias("traps_present"),
+    )
+
+
+def _field_result(name: str, weight: int, lost: Column) -> Column:
+    """Struct of field, status, points, max_points: what cannot be recovered shrinks the maximum, a missing case keeps it."""
+    key = flags_key if name == "risk_flags" else folded
+    gone = F.array_contains(lost, name)
+    hit = F.col("present") & (key(F.col(f"truth_{name}")) == key(F.col(f"pred_{name}")))
+    return F.struct(
+        F.lit(name).alias("field"), F.when(gone, "not_scorable_unrecoverable").when(hit, "matched").otherwise("missed").alias("status"),
+        F.when(hit & ~gone, weight).otherwise(0).alias("points"), F.when(gone, 0).otherwise(weight).alias("max_points"),
+    )
+
+
+def samples(rows: DataFrame, keys: list[str], value: str, most: int) -> DataFrame:
+    """Per group how many values there are, and the first of them in order: a report, not a cut."""
+    return rows.groupBy(*keys).agg(F.count(value).alias("n"), F.slice(F.array_sort(F.collect_set(value)), 1, most).alias("first"))
+
+
 def confusion(scored: DataFrame) -> DataFrame:
     """Counts by (truth, predicted or MISSING)."""
     return scored.groupBy("truth", F.coalesce("pred", F.lit("MISSING")).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
@@ -81,16 +137,8 @@ def field_scores(pairs: DataFrame, fields: dict[str, int] = vocab.FIELD_WEIGHTS)
     ``pairs`` has truth_<field>, pred_<field>, present and an array ``unrecoverable``.
     Fields that cannot be recovered shrink the maximum; a missing case keeps it.
     """
-    def one(name: str, weight: int) -> Column:
-        key = flags_key if name == "risk_flags" else folded
-        lost = F.array_contains(F.coalesce("unrecoverable", F.array().cast("array<string>")), name)
-        hit = F.col("present") & (key(F.col(f"truth_{name}")) == key(F.col(f"pred_{name}")))
-        return F.struct(
-            F.lit(name).alias("field"), F.when(lost, "not_scorable_unrecoverable").when(hit, "matched").otherwise("missed").alias("status"),
-            F.when(hit & ~lost, weight).otherwise(0).alias("points"), F.when(lost, 0).otherwise(weight).alias("max_points"),
-        )
-
-    rows = pairs.select("case_id", F.explode(F.array(*[one(n, w) for n, w in fields.items()])).alias("f"))
+    lost = F.coalesce("unrecoverable", F.array().cast("array<string>"))
+    rows = pairs.select("case_id", F.explode(F.array(*[_field_result(n, w, lost) for n, w in fields.items()])).alias("f"))
     return rows.select("case_id", "f.*")
 
 

@@ -17,6 +17,7 @@ def _until(stops: str, sep: str = r"\s+") -> str:
     return rf"(.+?)(?={sep}(?:{stops})\b|\z)"
 
 
+# The labels that end a value on each form.
 _INTAKE = rf"Case\s+(?:ID|1D|10)|Applicant|Species\s+Code|Home\s+World|Visa\s+(?:Class|Close)|Sponsor\s+(?:ID|1D|10)|{_ARRIVAL}\s+Date|Declared\s+Purpose|PASSPORT\s+IMAGE|Manual\s+correction\s*:|SAMPLE\s+(?:DENIAL|APPROVAL)|Packet"
 _REGISTRY = rf"Applicant|Registry\s+Name|Home\s+World|Species\s+Code|Registry\s+Status|{_ARRIVAL}\s+Date|REGISTRY\s+IMAGE|Packet"
 _SPONSOR = r"Case\s+ID|Sponsor\s+ID|Applicant|Purpose|Visa\s+Class|Packet\s+MIB-\d+\s*/\s*page|Synthetic\s+hiring"
@@ -145,21 +146,45 @@ def hidden_text(spans: Column, width: Column, height: Column) -> Column:
     return F.array_join(F.transform(kept, lambda s: s["text"]), " ")
 
 
-def route(usable: Column, suspicious_layer: Column, quality_class: Column) -> Column:
-    """(extraction_method, ocr_strategy): six routes, the first that applies."""
-    made = lambda m, s: F.struct(F.lit(m).alias("extraction_method"), F.lit(s).alias("ocr_strategy"))
-    return (
-        F.when(usable, made("native_text", "none")).when(suspicious_layer, made("standard_ocr", "suspicious_text_layer"))
-        .when(quality_class == "scan_readable", made("standard_ocr", "standard")).when(quality_class == "scan_degraded", made("degraded_scan_ocr", "degraded_scan"))
-        .when(quality_class == "mixed_content", made("standard_ocr", "standard")).otherwise(made("ocr_fallback", "fallback"))
-    )
-
-
+# The routes of a page, in the order in which they are tried. Columns: name, method, strategy, whether the
+# native text is used, the page rendered and read, the native text ignored, orientation found, the page turned and deskewed,
+# contrast enhanced, noise removed, a threshold applied. Where a cell names a measurement, that decides.
+ROUTE_COLUMNS = ("extraction_method", "ocr_strategy", "use_native_text", "render_page", "run_ocr", "ignore_native_text", "detect_orientation", "rotate", "deskew", "enhance_contrast", "denoise", "threshold")
+ROUTES = {
+    "usable": ("native_text", "none", True, False, False, False, False, False, False, False, False, False),
+    "suspicious": ("standard_ocr", "suspicious_text_layer", False, True, True, True, True, True, True, "low_contrast", "low_sharpness", "low_contrast"),
+    "scan_readable": ("standard_ocr", "standard", False, True, True, True, True, True, True, False, False, False),
+    "scan_degraded": ("degraded_scan_ocr", "degraded_scan", False, True, True, True, True, True, True, "low_contrast", True, True),
+    "mixed_content": ("standard_ocr", "standard", False, True, True, True, True, True, True, "low_contrast", False, False),
+    "otherwise": ("ocr_fallback", "fallback", False, True, True, True, True, True, True, True, True, True),
+}
+REASONS = {
+    "usable": "The native PDF text layer is sufficiently populated and trusted.",
+    "suspicious": "The native text layer contains suspicious instruction-like content. The visible page must be rendered and OCR must be performed without using or merging the native text.",
+    "scan_readable": "The page is image-based but has adequate visual quality for standard OCR.",
+    "scan_degraded": "The page is image-based and visually degraded. OCR should use preprocessing and may require multiple attempts.",
+    "mixed_content": "The page contains mixed visual and textual content, but its native text was not accepted. OCR the rendered page.",
+    "otherwise": "The page does not provide enough trusted native text and does not match a more specific route. Use the OCR fallback pipeline.",
+}
+
+
+def route(usable: Column, suspicious_layer: Column, quality_class: Column, low_contrast: Column | None = None, low_sharpness: Column | None = None) -> Column:
+    """The struct of ``ROUTE_COLUMNS`` and reason of the first route that applies."""
+    known = {"low_contrast": low_contrast if low_contrast is not None else F.lit(False), "low_sharpness": low_sharpness if low_sharpness is not None else F.lit(False)}
+    cell = lambda v: known.get(v, F.lit(v)) if isinstance(v, str) else F.lit(v)
+    made = {name: F.struct(*[cell(v).alias(c) for c, v in zip(ROUTE_COLUMNS, row, strict=True)], F.lit(REASONS[name]).alias("reason")) for name, row in ROUTES.items()}
+    out = F.when(usable, made["usable"]).when(suspicious_layer, made["suspicious"])
+    for name in ("scan_readable", "scan_degraded", "mixed_content"):
+        out = out.when(quality_class == name, made[name])
+    return out.otherwise(made["otherwise"])
+
+
+# How a correction note begins, and its free text.
 _CORRECTION = r"(?i)Manual\s+correction\s*:\s*([^\n|]{0,90})"
 # What a correction note calls a field, and the shape of its value.
 _PHRASES = (("fee status", "fee_status"), ("visa class", "visa_class"), ("species code", "species_code"), ("home world", "home_world"), ("arrival date", "arrival_date"), ("declared purpose", "declared_purpose"), ("applicant", "applicant"), ("sponsor", "sponsor_id"), ("species", "species_code"))
 _VALUES = {"fee_status": r"(?i)\b(paid|waived|unpaid|unknown)\b", "visa_class": r"(?i)\b(XW-1|XW-2|DIP-1|MED-3|TRANSIT-7)\b", "sponsor_id": r"(?i)\b(SPN-\d{4})\b", "arrival_date": r"\b(\d{4}-\d{2}-\d{2})\b", "species_code": r"(?i)\b([A-Z][A-Z0-9_]{3,})\b"}
-_FREE = (r"(?i)\bis\s+(.+?)\s*[.;|]", r"(?i)\bis\s+(.+)$")
+_FREE = r"(?i)\bis\s+(.+?)\s*(?:[.;|]|$)"
 
 
 def corrections(text: Column) -> Column:
@@ -169,7 +194,7 @@ def corrections(text: Column) -> Column:
     def entry(body: Column) -> Column:
         out = None
         for phrase, field in _PHRASES:
-            value = captured(body, _VALUES[field]) if field in _VALUES else first_captured(body, *_FREE)
+            value = captured(body, _VALUES[field]) if field in _VALUES else captured(body, _FREE)
             value = F.lower(value) if field == "fee_status" else F.upper(value) if field in ("visa_class", "sponsor_id", "species_code") else value
             made = F.struct(F.lit(field).alias("key"), value.alias("value"))
             test = F.lower(body).contains(phrase)
@@ -193,11 +218,6 @@ def missing_marker(field: Column, text: Column) -> Column:
     return out
 
 
-def orphan_lines(lines: Column, values: Column) -> Column:
-    """Lines that hold none of the extracted values."""
-    return F.filter(lines, lambda line: ~F.exists(values, lambda v: F.lower(line).contains(F.lower(v))))
-
-
 def candidate_score(text: Column, ocr_confidence: Column, known: Column, class_score: Column, class_confidence: Column, fields: Column) -> Column:
     """Score of one way to read a page; the highest is kept."""
     return 25.0 * known.cast("int") + class_score + 10.0 * class_confidence + 6.0 * fields + 0.02 * F.coalesce(ocr_confidence, F.lit(0.0)) + 0.005 * F.least(F.length(F.trim(text)), F.lit(500))

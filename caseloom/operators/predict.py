@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import labels, normalize, vocab
+from ..functions import normalize, vocab
 from ..functions.stored import checkpointed
-from ..functions.text import given, strict_date
-from . import derive, pages, resolve
+from ..functions.text import given, strict_date, stripped
+from . import derive, labelled, observe, pages, resolve
 
 FIELDS = ["applicant_name", "species_code", "home_world", "visa_class", "sponsor_id", "arrival_date", "declared_purpose", "risk_flags", "fee_status", "registry_status", "amount", "waiver_code", "adjudicator_decision", "adjudicator_reason"]
 
@@ -17,9 +17,9 @@ def observations(page_texts: DataFrame) -> DataFrame:
     """(case_id, page_number, text, text_source) to normalized observations."""
     text = F.col("text")
     p = page_texts.withColumn("document_type", pages.classified(text)["document_type"]).withColumn("notes", pages.corrections(text))
-    plain = pages.without_corrections(text)
-    found = labels.completed("document_type", plain, pages.extracted(F.col("document_type"), plain))
-    p = p.withColumn("found", found).withColumn("fields", F.map_concat(F.map_filter("found", lambda k, v: ~F.map_contains_key(F.col("notes"), k)), F.col("notes")))
+    p = p.withColumn("text", pages.without_corrections(text)).withColumn("found", pages.extracted(F.col("document_type"), pages.without_corrections(text)))
+    p = labelled.completed(p)
+    p = p.withColumn("fields", F.map_concat(F.map_filter("found", lambda k, v: ~F.map_contains_key(F.col("notes"), k)), F.col("notes")))
     p = p.withColumn("seq", F.col("page_number").cast("bigint"))
     # Read for the values to match, the resolution and the names.
     o = resolve.exploded(checkpointed(p.select("case_id", "page_number", "seq", "document_type", "text_source", "fields")))
@@ -29,12 +29,12 @@ def observations(page_texts: DataFrame) -> DataFrame:
 def name_outliers(observed: DataFrame) -> DataFrame:
     """(case_id, flag): a native name on a suspect document that no third document confirms.
 
-    Exact agreement is found by a join of the sets; only what is left is compared by
+    What is no name (``observe.plausible_name``) is no evidence on either side. Exact agreement is found by a join of the sets; only what is left is compared by
     matching blocks, per distinct pair of names.
     """
     from ..functions.similarity import ratio_udf
 
-    names = observed.where("field = 'applicant_name' AND normalized_value IS NOT NULL").select("case_id", "document_type", "text_source", F.col("normalized_value").alias("name"))
+    names = observed.where("field = 'applicant_name' AND normalized_value IS NOT NULL").select("case_id", "document_type", "text_source", stripped(F.col("normalized_value")).alias("name")).where(observe.plausible_name(F.col("name")))
     flag = F.when(F.col("document_type") == "intake_form", "identity_conflict").otherwise("sponsor_mismatch")
     suspect = names.where("text_source = 'native_text' AND document_type IN ('intake_form', 'sponsor_attestation')").select("case_id", flag.alias("flag"), "name").distinct()
     third = names.where("document_type NOT IN ('intake_form', 'sponsor_attestation')").select("case_id", F.col("name").alias("other")).distinct()
@@ -49,15 +49,21 @@ def _value(c: str) -> Column:
     return F.col(f"{c}_value")
 
 
-def decided(resolved_wide: DataFrame, outliers: DataFrame | None = None) -> DataFrame:
+#: Rules that read a flag off a case's resolved fields, each a Column that is null where it does not apply; callers may add their own.
+DERIVATIONS = {
+    "registry_status": lambda: F.when(F.upper(_value("registry_status")).contains("EMBARGO"), "planetary_embargo"),
+    "adjudicator_reason": lambda: derive.reason_flag(_value("adjudicator_reason")),
+}
+
+
+def decided(resolved_wide: DataFrame, outliers: DataFrame | None = None, derivations: dict = DERIVATIONS) -> DataFrame:
     """Derived fee and flags, and the decision, on one row per case."""
     w = resolved_wide
     if outliers is not None:
         w = w.join(outliers.groupBy("case_id").agg(F.collect_set("flag").alias("_outliers")), "case_id", "left")
     else:
         w = w.withColumn("_outliers", F.lit(None).cast("array<string>"))
-    embargo = F.when(F.upper(_value("registry_status")).contains("EMBARGO"), "planetary_embargo")
-    derived = F.array_union(F.coalesce("_outliers", F.array().cast("array<string>")), F.array_compact(F.array(embargo, derive.reason_flag(_value("adjudicator_reason")))))
+    derived = F.array_union(F.coalesce("_outliers", F.array().cast("array<string>")), F.array_compact(F.array(*[rule() for rule in derivations.values()])))
     flags = derive.merged_flags(F.split(_value("risk_flags"), r"\|"), derived)
     fee = F.coalesce(derive.fee_from_amount(normalize.amount(_value("amount")), derive.waiver_class(_value("waiver_code"))), _value("fee_status"))
     conflict = F.lit(False)

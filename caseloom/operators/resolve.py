@@ -62,12 +62,15 @@ def clusters(observations: Column) -> Column:
 
 
 def resolved(observations: DataFrame) -> DataFrame:
-    """(case_id, field, resolved_value, status, resolution_method) for every group."""
+    """(case_id, field, resolved_value, status, resolution_method) for every group of a known case; readings that are not trusted do not count."""
     one = F.struct(
         F.col("page_number").cast("int").alias("page_number"), F.col("seq").cast("bigint").alias("seq"), F.col("normalized_value").alias("value"), folded(F.col("normalized_value")).alias("folded"),
         "document_type", "text_source", document_tier(F.col("document_type")).alias("tier"), source_tier(F.col("text_source")).alias("source"),
     )
-    groups = observations.groupBy("case_id", "field").agg(F.array_sort(F.collect_list(F.when(F.col("normalized_value").isNotNull(), one))).alias("obs"))
+    counts = F.col("normalized_value").isNotNull()
+    if "trusted" in observations.columns:
+        counts = counts & F.coalesce(F.col("trusted"), F.lit(False))
+    groups = observations.where(F.col("case_id").isNotNull()).groupBy("case_id", "field").agg(F.array_sort(F.collect_list(F.when(counts, one))).alias("obs"))
     groups = groups.withColumn("clusters", clusters(F.col("obs")))
     ranked = F.array_sort(F.transform("clusters", lambda c, i: F.struct(
         F.array_min(F.transform(c, lambda o: o["tier"])).alias("tier"),
@@ -105,7 +108,7 @@ def _outcome(value: Column, status: Column, method: Column) -> Column:
 
 def resolved_exact(observations: DataFrame) -> DataFrame:
     """Resolution where only equal values agree: two aggregations and a window, no fold."""
-    o = observations.where("normalized_value IS NOT NULL").withColumn("folded", folded(F.col("normalized_value"))).withColumn("tier", document_tier(F.col("document_type"))).withColumn("source", source_tier(F.col("text_source")))
+    o = observations.where("normalized_value IS NOT NULL AND case_id IS NOT NULL").withColumn("folded", folded(F.col("normalized_value"))).withColumn("tier", document_tier(F.col("document_type"))).withColumn("source", source_tier(F.col("text_source")))
     c = o.groupBy("case_id", "field", "folded").agg(
         F.min("tier").alias("tier"), F.countDistinct("document_type").alias("types"), F.max("source").alias("source"),
         F.min(F.struct("page_number", "seq")).alias("first"), F.min_by("normalized_value", F.struct(-F.col("source"), "page_number", "seq")).alias("value"),

@@ -47,6 +47,41 @@ def root_causes(rows: DataFrame) -> DataFrame:
     return per.withColumn("share", F.col("errors") / F.sum("errors").over(W.partitionBy()))
 
 
+def label_summary(rows: DataFrame, label: str) -> DataFrame:
+    """Reviewed errors by a label: counts and weights with their percentages to two places, most frequent first."""
+    per = rows.where(F.coalesce(F.trim(F.col(label)), F.lit("")) != "").groupBy(label).agg(F.count(F.lit(1)).alias("errors"), F.sum("weight").cast("bigint").alias("weighted"))
+    whole = W.partitionBy()  # over a handful of labels
+    percent = lambda c: F.round(F.coalesce(F.try_divide(F.col(c) * 100.0, F.sum(c).over(whole)), F.lit(0.0)), 2)
+    return per.withColumn("errors_percent", percent("errors")).withColumn("weighted_percent", percent("weighted")).orderBy(F.desc("errors"), label)
+
+
+def by_urgency(summary: DataFrame) -> DataFrame:
+    """Case summaries, the most urgent first."""
+    return summary.orderBy(F.desc("top_priority"), F.desc("weighted"), "case_id")
+
+
+def flag_rows(rows: DataFrame, flags: str = "risk_flags") -> DataFrame:
+    """One row per (row, flag) of a list with bars; none is no flag."""
+    return rows.withColumn(flags, F.explode(F.split(flags, r"\|"))).withColumn(flags, F.trim(flags)).where(F.col(flags) != "none")
+
+
+def crosstab(rows: DataFrame, down: str, across: str, values: list) -> DataFrame:
+    """Counts of one column's values by another's, 0 where there are none."""
+    return rows.groupBy(down).pivot(across, values).agg(F.count(F.lit(1))).na.fill(0)
+
+
+def flag_combinations(exploded: DataFrame, among: tuple[str, ...], decision: str = "adjudication") -> DataFrame:
+    """Sets of two or more of these flags that cases have, with the number of cases by decision."""
+    sets = exploded.where(F.col("risk_flags").isin(*among)).groupBy("case_id").agg(F.array_sort(F.collect_set("risk_flags")).alias("s")).where(F.size("s") >= 2)
+    cases = exploded.groupBy("case_id").agg(F.min(decision).alias(decision))
+    return crosstab(sets.join(cases, "case_id").withColumn("combination", F.array_join("s", "|")), "combination", decision, list(vocab.DECISIONS))
+
+
+def lines_by_top(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Per page its lines from top to bottom."""
+    return lines.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("top", "left", "text"))), lambda x: x["text"]).alias("lines"))
+
+
 def word_lines(words: DataFrame, keys: list[str]) -> DataFrame:
     """OCR words to lines: text, box, mean of the confidences that are not negative."""
     return words.groupBy(*keys).agg(

@@ -57,8 +57,8 @@ base AS (
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Labels as truth; a prediction by a rule over the documents, missing for every ninth."""
-    d = t(spark, sf, "documents").where("doc_id % 9 <> 0").select("doc_id", F.when(F.col("n_chars") > 1500, "APPROVED").when(F.col("n_chars") > 400, "NEEDS_REVIEW").otherwise("DENIED").alias("pred"), ((F.col("doc_id") % 100) / 100.0).alias("confidence"))
+    """Labels as truth; a prediction by a rule over the documents, missing where a document has under 300 characters to tell from."""
+    d = t(spark, sf, "documents").where("n_chars >= 300").select("doc_id", F.when(F.col("n_chars") > 1500, "APPROVED").when(F.col("n_chars") > 400, "NEEDS_REVIEW").otherwise("DENIED").alias("pred"), ((F.col("doc_id") % 100) / 100.0).alias("confidence"))
     truth = F.when(F.col("toxic") == 1, "DENIED").when(F.col("quality") == 1, "APPROVED").otherwise("NEEDS_REVIEW")
     return t(spark, sf, "labels").select("doc_id", truth.alias("truth")).join(d, "doc_id", "left")
 
@@ -70,7 +70,7 @@ scored AS (
   FROM labels l LEFT JOIN (
     SELECT doc_id, CASE WHEN n_chars > 1500 THEN 'APPROVED' WHEN n_chars > 400 THEN 'NEEDS_REVIEW' ELSE 'DENIED' END AS pred,
       CAST(doc_id % 100 AS DOUBLE) / 100.0 AS confidence
-    FROM documents WHERE doc_id % 9 <> 0) d USING (doc_id)
+    FROM documents WHERE n_chars >= 300) d USING (doc_id)
 )"""
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions import labels, normalize, similarity, vocab
+from ..functions import normalize, similarity, vocab
 from ..functions.text import collapsed
-from ..operators import derive, evaluate, identity, pages, predict, resolve, series, triage
+from ..operators import derive, evaluate, identity, labelled, observe, pages, predict, resolve, series, triage
 from ..streaming import arrivals
 from .cases import ERRORS_SQL, OBSERVATIONS_SQL, SCORED_SQL, WIDE_SQL, errors, observations, pick, scored, t, wide_cases
 
@@ -66,9 +66,9 @@ def _(s, sf):
     return t(s, sf, "documents").select("doc_id", "n_chars").join(t(s, sf, "labels"), "doc_id", "left_semi")
 
 
-@query("join_anti_missing", "SELECT doc_id, quality FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 9 <> 0)")
+@query("join_anti_missing", "SELECT doc_id, quality FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE n_chars >= 300)")
 def _(s, sf):
-    return t(s, sf, "labels").select("doc_id", "quality").join(t(s, sf, "documents").where("doc_id % 9 <> 0"), "doc_id", "left_anti")
+    return t(s, sf, "labels").select("doc_id", "quality").join(t(s, sf, "documents").where("n_chars >= 300"), "doc_id", "left_anti")
 
 
 @query("join_anti_extra", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -323,9 +323,9 @@ def _(s, sf):
     return t(s, sf, "documents").select("doc_id", pages.missing_marker(F.lit("fee_status"), text).alias("marker")).where("marker IS NOT NULL")
 
 
-@query("orphan_lines", r"SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda l: NOT contains(lower(l), 'the'))) AS n FROM documents")
+@query("orphan_lines", r"SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda l: length(l) >= 3 AND NOT regexp_matches(l, '(?i)packet|page\s+\d|synthetic\s+hiring|mib\s+eyes\s+only|scan\s+image|passport\s+image|registry\s+image|form\s+[bi][-\s]?\d+') AND NOT contains(lower(l), 'the'))) AS n FROM documents")
 def _(s, sf):
-    return t(s, sf, "documents").select("doc_id", F.size(pages.orphan_lines(F.split("text", "\n"), F.array(F.lit("the")))).cast("bigint").alias("n"))
+    return t(s, sf, "documents").select("doc_id", F.size(observe.orphans(F.split("text", "\n"), F.array(F.lit("The"), F.lit(""), F.lit(None)))).cast("bigint").alias("n"))
 
 
 # Identity ------------------------------------------------------------------------------------
@@ -492,11 +492,23 @@ def _(s, sf):
     return baseline(t(s, sf, "part").select(_case("p_partkey").alias("case_id")), 0.4).select("case_id", "adjudication", "sponsor_id", F.col("confidence").cast("double").alias("confidence"))
 
 
-@query("name_outlier_flags", "SELECT 'MIB-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS case_id, CASE WHEN o_orderkey % 4 = 0 THEN 'identity_conflict' ELSE 'sponsor_mismatch' END AS flag FROM orders WHERE o_orderkey % 4 IN (0, 1)")
+# Names of three persons, the first also as a bad reading; then what is no name: too short, too long, one word, digits.
+_NAMES = ("Orikesh Aritari", "Orikesh Antari", "Zevese Quillon", "Mo Brask", "Talvennarix Parquestion", "Miravara", "Zed Qu1llon", "Ulmo Brasker")
+_PERSON = (1, 1, 2, 0, 0, 0, 0, 3)
+
+
+@query("name_outlier_flags", f"""
+WITH p AS (SELECT unnest(range({len(_NAMES)})) AS i, unnest({list(_PERSON)}) AS person),
+o AS (SELECT 'MIB-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') AS case_id, a.person AS intake, b.person AS sponsor, c.person AS third, o_custkey % 3 = 0 AS read FROM orders
+  JOIN p a ON a.i = o_orderkey % {len(_NAMES)} JOIN p b ON b.i = o_custkey % {len(_NAMES)} JOIN p c ON c.i = (o_orderkey + o_custkey) % {len(_NAMES)})
+SELECT case_id, 'identity_conflict' AS flag FROM o WHERE intake <> 0 AND third <> 0 AND intake <> third AND NOT read
+UNION ALL SELECT case_id, 'sponsor_mismatch' FROM o WHERE sponsor <> 0 AND third <> 0 AND sponsor <> third""")
 def _(s, sf):
-    k = F.col("o_orderkey")
-    one = lambda kind, name, source="native_text": F.struct(F.lit(kind).alias("document_type"), (name if not isinstance(name, str) else F.lit(name)).alias("normalized_value"), F.lit(source).alias("text_source"))
-    names = F.array(one("intake_form", F.when(k % 4 == 0, "Mo Brask").otherwise("Orikesh Aritari")), one("sponsor_attestation", F.when(k % 4 == 1, "Mo Brask").when(k % 4 == 2, "Orikesh Antari").otherwise("Orikesh Aritari")), one("registry_extract", "Orikesh Antari", "ocr"))
+    k, c, n = F.col("o_orderkey"), F.col("o_custkey"), len(_NAMES)
+    one = lambda kind, name, source: F.struct(F.lit(kind).alias("document_type"), name.alias("normalized_value"), source.alias("text_source"))
+    native = F.lit("native_text")
+    # A name that was read off an image is no evidence of a conflict, but confirms.
+    names = F.array(one("intake_form", pick(k % n, _NAMES), F.when(c % 3 == 0, "ocr").otherwise(native)), one("sponsor_attestation", pick(c % n, _NAMES), native), one("registry_extract", pick((k + c) % n, _NAMES), F.lit("ocr")))
     o = t(s, sf, "orders").select(_case("o_orderkey").alias("case_id"), F.lit("applicant_name").alias("field"), F.inline(names))
     return predict.name_outliers(o)
 
@@ -532,7 +544,7 @@ def _(s, sf):
     k = F.col("p_partkey")
     text = F.concat(F.lit("Case ID: MIB-"), F.lpad((k % 1000000).cast("string"), 6, "0"), pick(k % 3, (" Home Workt: ", " Hcme World ", " Home World: ")), pick(k % 13, vocab.HOME_WORLDS), pick(k % 2, (" Foe Status: ", " Fee Statvs ")), pick(k % 4, vocab.FEE_STATUSES), F.lit(" Speeies Code ORION GRAYS Visa Clas: "), pick(F.col("p_size") % 5, vocab.VISA_CLASSES))
     d = t(s, sf, "part").select(text.alias("text")).distinct()
-    m = d.select("text", labels.labelled_fields("text").alias("f"))
+    m = labelled.completed(d.select("text", F.lit("unknown").alias("document_type"), F.create_map().cast("map<string,string>").alias("f")), found="f")
     return m.select("text", m.f["home_world"].alias("home_world"), m.f["fee_status"].alias("fee_status"), m.f["visa_class"].alias("visa_class"))
 
 
@@ -555,9 +567,17 @@ def _(s, sf):
     return series.cascaded(e, ["user_id"], "event_id", "step", "value").select("event_id", "shift")
 
 
-@query("trimmed_fit", """WITH f AS (SELECT l_returnflag, regr_slope(l_extendedprice, l_quantity) AS s, regr_intercept(l_extendedprice, l_quantity) AS i FROM lineitem GROUP BY 1),
-r AS (SELECT l.l_returnflag, l_quantity, l_extendedprice, l_extendedprice - s * l_quantity - i AS r FROM lineitem l JOIN f USING (l_returnflag)), d AS (SELECT l_returnflag, stddev_pop(r) AS d FROM r GROUP BY 1)
-SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept, count(*) AS n FROM r JOIN d USING (l_returnflag) WHERE abs(r) <= 2.0 * d + 1e-12 GROUP BY 1""")
+def _fit_sql(rounds: int = 4) -> str:
+    steps = ["f0 AS (SELECT l_returnflag AS g, CAST(l_quantity AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y, false AS done FROM lineitem)"]
+    for i in range(rounds):
+        steps.append(f"""a{i} AS (SELECT *, regr_slope(y, x) OVER w AS s, regr_intercept(y, x) OVER w AS c FROM f{i} WINDOW w AS (PARTITION BY g)),
+b{i} AS (SELECT *, abs(y - (s * x + c)) AS r FROM a{i}), c{i} AS (SELECT *, stddev_pop(r) OVER (PARTITION BY g) AS d FROM b{i}),
+d{i} AS (SELECT *, r < 2.5 * d AS k, count(*) OVER (PARTITION BY g) AS n, count(*) FILTER (r < 2.5 * d) OVER (PARTITION BY g) AS m FROM c{i}),
+f{i + 1} AS (SELECT g, x, y, done OR coalesce(d < 1e-9, true) OR m < greatest(4, floor(0.3 * n)) AS done FROM d{i} WHERE done OR coalesce(d < 1e-9, true) OR m < greatest(4, floor(0.3 * n)) OR k)""")
+    return f"WITH {', '.join(steps)} SELECT g AS l_returnflag, round(regr_slope(y, x), 4) AS slope, round(regr_intercept(y, x), 2) AS intercept, count(*) AS n FROM f{rounds} GROUP BY 1"
+
+
+@query("trimmed_fit", _fit_sql())
 def _(s, sf):
     f = series.trimmed_fit(t(s, sf, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice"), ["l_returnflag"], "l_quantity", "l_extendedprice")
     return f.select("l_returnflag", F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"), "n")
@@ -589,3 +609,6 @@ def _(s, sf):
 @query("page_text_summary", r"SELECT lang, count(*) AS n, CAST(sum(length(trim(regexp_replace(text, '\s+', ' ', 'g')))) AS BIGINT) AS chars FROM documents GROUP BY 1")
 def _(s, sf):
     return t(s, sf, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(collapsed(F.col("text")))).alias("chars"))
+
+
+from . import extended  # noqa: E402, F401  adds its queries to the catalogue

@@ -17,24 +17,59 @@ def packets(spark: SparkSession, path: str, content: bool = True) -> DataFrame:
     return files.select(*columns, *(["content"] if content else []))
 
 
-def csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """A CSV with header, every column a string; a byte order mark is dropped. With ``columns`` the header must be exactly these."""
-    found = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None, multiline: bool = True) -> DataFrame:
+    """A CSV with header, every column a string; a byte order mark is dropped. With ``columns`` the header must be exactly these.
+
+    A file whose values hold line breaks is one task; without ``multiline`` files are split.
+    """
+    found = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').csv(path)
     found = found.toDF(*[c.lstrip("﻿") for c in found.columns])
     if columns is not None and found.columns != list(columns):
         raise ValueError(f"the header is {found.columns}, not {list(columns)}")
     return found
 
 
+def manifest_ids(spark: SparkSession, path: str, column: str = "case_id") -> DataFrame:
+    """The case ids that a manifest lists, trimmed, with the blank ones left out."""
+    return csv_rows(spark, path).select(F.trim(column).alias("case_id")).where("case_id <> ''")
+
+
 def jsonl_rows(spark: SparkSession, path: str, schema: T.StructType = PREDICTION) -> DataFrame:
-    """JSON lines; blank lines are skipped, a malformed line fails the read."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    """JSON lines; blank lines are skipped, a malformed one fails the read and is quoted with its file."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file")).where(F.trim("value") != "")
+    read = F.from_json("value", T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = lines.withColumn("r", read)
+    message = F.concat(F.lit("malformed line in "), F.col("_file"), F.lit(": "), F.substring("value", 1, 200))
+    checked = F.when(F.col("r._bad").isNull(), F.col("r")).otherwise(F.raise_error(message).cast(read_type(schema)))
+    return rows.select(checked.alias("r")).select(*[f"r.{f.name}" for f in schema.fields])
+
+
+def read_type(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+
+
+def bad_lines(spark: SparkSession, path: str, schema: T.StructType = PREDICTION) -> DataFrame:
+    """(file, line, value) of the malformed lines of JSON line files, counted from 1. Files are read whole to number their lines."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("n", "value"))
+    rows = files.where(F.trim("value") != "").withColumn("r", F.from_json("value", read_type(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    return rows.where("r._bad IS NOT NULL").select("file", (F.col("n") + 1).alias("line"), "value")
+
+
+def located(ids: DataFrame, files: DataFrame) -> DataFrame:
+    """(case_id, path): the file named exactly like the case, else the first whose name begins with its id.
+
+    ``files`` is (stem, path). Names meet ids by the id's own length, so nothing is compared pair by pair.
+    """
+    exact = files.groupBy("stem").agg(F.min("path").alias("exact"))
+    sizes = ids.select(F.length("case_id").alias("size")).distinct()
+    begun = files.join(F.broadcast(sizes), F.length("stem") >= F.col("size")).groupBy(F.expr("substring(stem, 1, size)").alias("begin")).agg(F.min("path").alias("near"))
+    out = ids.join(exact, ids["case_id"] == exact["stem"], "left").join(begun, ids["case_id"] == begun["begin"], "left")
+    return out.select("case_id", F.coalesce("exact", "near").alias("path"))
 
 
 def json_rows(spark: SparkSession, path: str, schema: T.StructType = PREDICTION) -> DataFrame:
     """One JSON document of any accepted shape: list; object with a list under a known name; one row; map by case_id."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     rows = T.ArrayType(schema)
     named = [F.from_json(F.get_json_object("value", f"$.{n}"), rows) for n in ("predictions", "submission", "results", "cases")]
     single = F.when(F.get_json_object("value", "$.case_id").isNotNull(), F.array(F.from_json("value", schema)))

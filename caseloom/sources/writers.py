@@ -15,6 +15,23 @@ def write_jsonl(df: DataFrame, path: str, order: str = "case_id", single: bool =
     (lines.coalesce(1) if single else lines).write.mode("overwrite").text(path)
 
 
+def sorted_json(df: DataFrame, pretty: bool = False) -> DataFrame:
+    """(value): one JSON object per row, keys in order, nulls written."""
+    return df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false", "pretty": str(pretty).lower()}).alias("value"))
+
+
+def write_json(df: DataFrame, path: str, pretty: bool = True) -> None:
+    """JSON objects with their keys in order."""
+    sorted_json(df, pretty).write.mode("overwrite").text(path)
+
+
+def write_diagnostics(df: DataFrame, path: str, keys: list[str]) -> None:
+    """One JSON object per group of keys, its rows listed under ``results``."""
+    rest = [c for c in sorted(df.columns) if c not in keys]
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), F.array_sort(F.collect_list(F.struct(*rest))).alias("results"))
+    write_json(grouped, path, pretty=False)
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 

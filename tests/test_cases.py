@@ -5,8 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.functions import labels, normalize, similarity
-from caseloom.operators import derive, identity, pages, predict, resolve
+from caseloom.functions import normalize, similarity
+from caseloom.operators import derive, identity, labelled, pages, predict, resolve
 from caseloom.sources import readers, writers
 
 SCHEMA = "case_id string, page_number int, seq long, document_type string, text_source string, field string, normalized_value string"
@@ -84,6 +84,8 @@ def test_sources_and_sinks(spark, tmp_path):
     writers.write_jsonl(rows, f"{tmp_path}/out", single=True)
     back = readers.jsonl_rows(spark, f"{tmp_path}/out")
     assert [r["case_id"] for r in back.collect()] == ["MIB-000001", "MIB-000002"]
+    (tmp_path / "pretty.json").write_text('{\n  "results": [\n    {"case_id": "a"}\n  ]\n}')
+    assert [r["case_id"] for r in readers.submission(spark, f"{tmp_path}/pretty.json").collect()] == ["a"]
     for name, body in {"list": '[{"case_id": "a"}]', "named": '{"predictions": [{"case_id": "a"}]}', "single": '{"case_id": "a"}', "keyed": '{"a": {"confidence": 0.5}}'}.items():
         (tmp_path / f"{name}.json").write_text(body)
         assert [r["case_id"] for r in readers.submission(spark, f"{tmp_path}/{name}.json").collect()] == ["a"], name
@@ -122,8 +124,10 @@ def test_best_matches(spark, field, raw, expected):
         ("unknown", "Foe Status: unpaid", {}, {"fee_status": "unpaid"}),
     ],
 )
-def test_damaged_labels(kind, text, strict, expected):
-    assert labels.completed_fields(kind, text, strict) == expected
+def test_damaged_labels(spark, kind, text, strict, expected):
+    one = spark.createDataFrame([(kind, text, strict), (kind, None, strict)], "document_type string, text string, found map<string,string>")
+    got = labelled.completed(one).collect()
+    assert [r.found for r in got if r.text is not None] == [expected] and [r.found for r in got if r.text is None] == [strict]
 
 
 def test_damaged_pages_reach_the_decision(spark):
