@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, crc_fold, slices, table, trained
+from .common import BLOCK_BYTES, crc_fold, one_column, slices, table, trained
 
 PASSAGE = 768
 #: Passages whose bytes are counted at a time.
@@ -249,14 +249,12 @@ def scored(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col
 
 def accepted(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
     """The rows, whole and unchanged, whose text scores at least the threshold."""
-    scorer = F.pandas_udf(lambda s: _as_series(score(model, s.tolist())), "double")
-    return docs.where(scorer(F.col(text_col).cast("string")) >= THRESHOLD)
-
 
-def _as_series(values: np.ndarray):
-    import pandas as pd
+    @F.arrow_udf("double")
+    def scorer(texts: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0), *(score(model, part.column(0).to_pylist()) for part in slices(one_column(texts), 0))]), pa.float64())
 
-    return pd.Series(values)
+    return docs.where(scorer(F.col(text_col).cast("string")) >= THRESHOLD)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
