@@ -26,12 +26,11 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, crc_fold, slices, table, trained
+from .common import BLOCK_BYTES, crc_fold, one_column, slices, table, trained
 
 SAMPLE, SAMPLE_WINDOWS, SAMPLE_BYTES = 2000, 3, 96
 HIDDEN, EMBED, EPOCHS, BATCH, SEED = 10, 12, 5, 128, 11
@@ -311,12 +310,15 @@ def identified(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text
 def accepted(docs: DataFrame, model: dict | None, least: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows, whole and unchanged, in a known language with at least this score."""
 
-    def certain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            names, scores = predict(model, [t if isinstance(t, str) else None for t in s])
-            yield pd.Series([0.0 if n == UNKNOWN else float(x) for n, x in zip(names, scores, strict=True)], dtype=float)
+    @F.arrow_udf("double")
+    def certain(texts: pa.Array) -> pa.Array:
+        out = []
+        for part in slices(one_column(texts), 0):
+            names, scores = predict(model, part.column(0).to_pylist())
+            out += [0.0 if n == UNKNOWN else float(x) for n, x in zip(names, scores, strict=True)]
+        return pa.array(out, pa.float64())
 
-    return docs.where(F.pandas_udf(certain, "double", F.PandasUDFType.SCALAR_ITER)(F.col(text_col).cast("string")) >= least)
+    return docs.where(certain(F.col(text_col).cast("string")) >= least)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
