@@ -1,19 +1,21 @@
 """Byte-level BPE over a global dictionary of distinct words.
 
-1. Texts are cut into pre-tokens, in blocks of documents. A block keeps its
-   pre-tokens in order as codes into its own word list (the positions), and deals
+1. Texts are cut into pre-tokens, in blocks of documents, in one pass. A block gives
+   its pre-tokens in order as codes into its own word list (the positions), and deals
    its word list to buckets by word hash.
 2. A bucket brings together the words of all blocks, encodes each distinct word
    once, and sends every block the ids of its words.
 3. A block's codes and ids meet again: ids are put back by position, document by
-   document, and decoded through the table of token bytes.
+   document, and joined with the table of token bytes, whose rows stand at their ids.
 
 What is shuffled is the distinct words of each block and the codes, packed and
-compressed, in place of one row per pre-token. Words and codes are made by two
-passes over the documents, which costs less than keeping the codes on disk twice. A
-block is named by its place and a checksum of its words in order; should a source
-not give its rows in the same order twice, the names differ and the query fails
-rather than mixing them (checkpoint such a source first).
+compressed, in place of one row per pre-token. Words go to their buckets and codes
+to their blocks in one shuffle, which both steps read. There are buckets in proportion
+to the input's partitions, so that a bucket gets about the words of half a partition
+whatever the size of the table. A block is named by its place and a checksum of its
+words and codes; should a task that is run again get its rows in another order, the
+names differ and the query fails rather than mixing the two (checkpoint a source
+whose order can change).
 
 Defined results: a null text is an empty text (no ids); repeated rows and ids
 each give a row; a null id is kept; an empty table gives no rows; other columns
@@ -33,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import checkpointed, table
 from .tokens import _BEYOND_LATIN, SPACES, ranks
 
 #: Characters of text in one block, unless one document has more.
@@ -41,8 +43,8 @@ BLOCK_CHARS = 8_000_000
 #: Buckets per input partition, and at least.
 BUCKETS_PER_PART, LEAST_BUCKETS = 2, 24
 
-_DEALT = "block string, bucket int, part binary, docs binary"
-_IDS = "block string, bucket int, part binary"
+_DEALT = "route string, block string, bucket int, part binary, docs binary"
+_IDS = "route string, part binary"
 _OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -138,7 +140,7 @@ def _bucketed(words: list[bytes], buckets: int) -> dict[int, tuple[np.ndarray, l
 
 
 def _deal(pattern: str, buckets: int):
-    """Blocks: one row per bucket with its words, or, without buckets, one row with the documents' codes."""
+    """Blocks: one row with the documents' codes (bucket -1), and one per bucket with its words."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter, part = Cutter(pattern), TaskContext.get().partitionId()
@@ -147,13 +149,13 @@ def _deal(pattern: str, buckets: int):
         def flush() -> pd.DataFrame:
             nonlocal number, ids, lengths, stream, codes, size
             words = [w.encode("utf-8", "surrogatepass") for w in codes]
-            name = f"{part}-{number}-{zlib.crc32(b' '.join(words))}"
             known = np.array([i is not None for i in ids], np.uint32)
             keys = np.array([0 if i is None else i for i in ids], np.int64).view(np.uint64)
             docs = _pack(np.frombuffer(stream, np.uint32), np.array(lengths, np.uint32), known, (keys & 0xFFFFFFFF).astype(np.uint32), (keys >> np.uint64(32)).astype(np.uint32))
-            rows = [(name, b, _pack(mine), _pack_words(list_)) for b, (mine, list_) in _bucketed(words, buckets).items()] if buckets else [(name, -1, None, docs)]
+            name = f"{part}-{number}-{zlib.crc32(b' '.join(words))}-{zlib.crc32(docs)}"
+            rows = [(name, name, -1, None, docs)] + [(str(b), name, b, _pack(mine), _pack_words(list_)) for b, (mine, list_) in _bucketed(words, buckets).items()]
             number, ids, lengths, stream, codes, size = number + 1, [], [], array("I"), _Codes(), 0
-            return pd.DataFrame(rows, columns=["block", "bucket", "part", "docs"])
+            return pd.DataFrame(rows, columns=["route", "block", "bucket", "part", "docs"])
 
         for frame in frames:
             for key, text in zip(frame["doc_id"], frame["text"], strict=True):
@@ -174,12 +176,10 @@ def _encode(path: str):
     """A bucket: encode each distinct word once; per block the ids of its words."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        import public_tokenizers
-        import tiktoken
-
-        encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=_ranks(path), special_tokens={})
-        piece, known, rows = encoding._core_bpe.encode_single_piece, {}, []
+        piece, known, rows = _encoding(path)._core_bpe.encode_single_piece, {}, []
         for block, bucket, part, docs in zip(frame["block"], frame["bucket"], frame["part"], frame["docs"], strict=True):
+            if bucket < 0:
+                continue
             found = []
             for w in _unpack_words(docs):
                 ids = known.get(w)
@@ -188,19 +188,34 @@ def _encode(path: str):
                 found.append(ids)
             counts = np.fromiter(map(len, found), np.uint32, len(found))
             flat = np.fromiter((i for f in found for i in f), np.uint32, int(counts.sum()))
-            rows.append((block, bucket, _pack(_unpack(part)[0], counts, flat)))
-        return pd.DataFrame(rows, columns=["block", "bucket", "part"])
+            rows.append((block, _pack(_unpack(part)[0], counts, flat)))
+        return pd.DataFrame(rows, columns=["route", "part"])
 
     return run
 
 
-_RANKS: dict[str, dict[bytes, int]] = {}
+_MADE: dict = {}
+
+
+def _encoding(path: str):
+    """The encoder of a rank file, one per process."""
+    if ("encoding", path) not in _MADE:
+        import public_tokenizers
+        import tiktoken
+
+        _MADE["encoding", path] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={})
+    return _MADE["encoding", path]
 
 
-def _ranks(path: str) -> dict[bytes, int]:
-    if path not in _RANKS:
-        _RANKS[path] = ranks(path)
-    return _RANKS[path]
+def token_bytes(path: str) -> list[bytes]:
+    """The table of token bytes by id, one per process; ids that no token has are empty."""
+    if ("bytes", path) not in _MADE:
+        known = ranks(path)
+        rows = [b""] * (max(known.values()) + 1)
+        for token, i in known.items():
+            rows[i] = token
+        _MADE["bytes", path] = rows
+    return _MADE["bytes", path]
 
 
 def _gather(values: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -213,14 +228,15 @@ def _gather(values: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.nda
 def _rejoin(path: str):
     """A block: its documents' codes with the ids of its words."""
 
-    def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        if docs.empty:
-            raise ValueError("the source gave its rows in another order the second time; checkpoint it first")
-        stream, lengths, known, low, high = _unpack(docs["docs"].iloc[0])
+    def run(dealt: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        docs = dealt.loc[dealt["bucket"] < 0, "docs"]
+        if docs.empty and words.empty:  # a bucket
+            return pd.DataFrame({"doc_id": np.zeros(0, np.int64), "n_tokens": np.zeros(0, np.int64), "ids_sha256": np.zeros(0, object), "decoded_sha256": np.zeros(0, object)})
         parts = [_unpack(p) for p in words["part"]]
         size = sum(len(p[0]) for p in parts)
-        if size != (int(stream.max()) + 1 if len(stream) else 0):
-            raise ValueError("the source gave its rows in another order the second time; checkpoint it first")
+        stream, lengths, known, low, high = _unpack(docs.iloc[0]) if len(docs) else [np.zeros(0, np.uint32)] * 5
+        if docs.empty or size != (int(stream.max()) + 1 if len(stream) else 0):
+            raise ValueError("a task that was run again got its rows in another order; checkpoint the source first")
         counts = np.zeros(size, np.int64)
         first = np.zeros(size, np.int64)
         at = 0
@@ -229,10 +245,7 @@ def _rejoin(path: str):
             first[codes] = at + np.cumsum(n, dtype=np.int64) - n
             at += len(flat)
         flat = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.uint32)
-        tokens = sorted(_ranks(path).items(), key=lambda x: x[1])
-        table_ = [b""] * (tokens[-1][1] + 1)
-        for token, i in tokens:
-            table_[i] = token
+        table_ = token_bytes(path)
         keys = (low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)).view(np.int64)
         rows, ends = [], np.cumsum(lengths, dtype=np.int64)
         for i, (a, b) in enumerate(zip(ends - lengths, ends, strict=True)):
@@ -249,9 +262,25 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = max(LEAST_BUCKETS, BUCKETS_PER_PART * src.rdd.getNumPartitions())
-    ids = src.mapInPandas(_deal(pattern, buckets), _DEALT).groupBy("bucket").applyInPandas(_encode(path), _IDS)
-    blocks = src.mapInPandas(_deal(pattern, 0), _DEALT).select("block", "docs")
-    return blocks.groupBy("block").cogroup(ids.groupBy("block")).applyInPandas(_rejoin(path), _OUT)
+    dealt = src.mapInPandas(_deal(pattern, buckets), _DEALT).repartition("route")
+    ids = dealt.groupBy("route").applyInPandas(_encode(path), _IDS)
+    return dealt.groupBy("route").cogroup(ids.groupBy("route")).applyInPandas(_rejoin(path), _OUT)
+
+
+def decoded(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """Rows of ids back to bytes (the ids column becomes ``bytes``) by a join with the token-byte table; for tables of any ids.
+
+    The table has a row per token of the file and is broadcast. Repeated rows and
+    null ids of documents are kept apart by a number of their own; null or empty id
+    lists give empty bytes; an id that no token has gives none.
+    """
+    spark = tokens.sparkSession
+    rows = checkpointed(tokens.select(F.col(id_col), F.col(ids_col).cast("array<int>").alias("_ids"), F.monotonically_increasing_id().alias("_row")))
+    table_ = F.broadcast(spark.createDataFrame(list(enumerate(token_bytes(path))), "_id int, _bytes binary"))
+    at = rows.select("_row", F.posexplode("_ids").alias("_at", "_id")).join(table_, "_id")
+    joined = at.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", F.hex("_bytes").alias("h")))).alias("p"))
+    text = F.unhex(F.array_join(F.transform("p", lambda x: x["h"]), ""))
+    return rows.join(joined, "_row", "left").select(id_col, F.coalesce(text, F.lit(b"")).alias("bytes"))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
