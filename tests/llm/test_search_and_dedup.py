@@ -1,6 +1,7 @@
 """Exact search and near-duplicates against brute force."""
 
 import collections
+import fractions
 import math
 import random
 import re
@@ -15,10 +16,10 @@ from caseloom.llm import neardup, topk
 def test_topk(spark):
     r = np.random.default_rng(1)
     rows = [(i, r.normal(size=6).round(2).tolist()) for i in range(230)]
-    rows += [(300, rows[5][1]), (301, rows[5][1]), (302, [1.0, None, 2.0, 3.0, 4.0, 5.0]), (303, [math.nan] * 6), (304, [math.inf] * 6), (305, None), (None, [1.0] * 6), (400, [1.0, 2.0]), (401, [3.0, 1.0]), (200, rows[200][1]), (500, [1e30] * 6)]
+    rows += [(300, rows[5][1]), (301, rows[5][1]), (302, [1.0, None, 2.0, 3.0, 4.0, 5.0]), (303, [math.nan] * 6), (304, [math.inf] * 6), (305, None), (None, [1.0] * 6), (400, [1.0, 2.0]), (401, [3.0, 1.0]), (200, rows[200][1]), (500, [1e30] * 6), (501, [1.7e308, -1.7e308, 0.5, 0.0, 0.0, 0.0]), (600, [-1.7e308, 1.0, 1e-9, 5e307, 0.25, 0.0]), (601, [1e12, -1e12, 1e-3, 0.0, 0.0, 0.0])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, score int").repartition(3)
     got = topk.exact_topk(df, F.pmod(F.col("vec_id"), F.lit(100)) == 0).collect()
-    ok = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    ok = [(i, [math.floor(1024 * fractions.Fraction(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     clip = lambda s: max(-(2**63), min(2**63 - 1, s))
     expected = []
     for q, v in {i: v for i, v in ok if i % 100 == 0}.items():
@@ -32,11 +33,22 @@ def test_topk_in_small_tiles_and_a_deep_tree(spark, monkeypatch):
     whole = sorted(map(tuple, topk.exact_topk(df, F.col("vec_id") % 100 == 0).collect()))
     monkeypatch.setattr(topk, "FAN_IN", 2)
     monkeypatch.setattr(topk, "TILE", 16)
-    monkeypatch.setattr(topk, "BLOCK_COMPONENTS", 8)
+    monkeypatch.setattr(topk, "PASS_COMPONENTS", 12)
     assert sorted(map(tuple, topk.exact_topk(df, F.col("vec_id") % 100 == 0).collect())) == whole and len(whole) == 40
     assert topk.exact_topk(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_topk_of_many_queries_reads_the_candidates_once(spark):
+    """10,000 queries are one pass, and the plan is that of a single query."""
+    rows = spark.range(12_000).select(F.col("id").alias("vec_id"), F.array(*[(F.hash("id", F.lit(j)) % 50 / 17).cast("double") for j in range(4)]).alias("embedding"))
+    rows.repartition(2).write.mode("overwrite").parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/vectors.parquet")
+    df = spark.read.parquet(path)
+    many, one = topk.exact_topk(df, F.col("vec_id") < 10_000, k=3), topk.exact_topk(df, F.col("vec_id") == 17, k=3)
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in (many, one)]
+    assert [p.count("FileScan") for p in plans] == [1, 1] and plans[0].count("\n") == plans[1].count("\n")
+    assert many.count() == 30_000 and many.where("query_id = 17").orderBy("rank").collect() == one.orderBy("rank").collect()
+
+
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -118,7 +130,9 @@ def test_registers_merge_and_estimate():
     assert (neardup.registers([np.zeros(0, np.uint64)]) == 0).all()
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("few", [neardup.FEW_EDGES, 5, 0])
+def test_components_of_a_long_chain(spark, monkeypatch, few):
+    monkeypatch.setattr(neardup, "FEW_EDGES", few)
     e = spark.range(60).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("a"), F.concat(F.lit("v"), F.lpad((F.col("id") + 1).cast("string"), 3, "0")).alias("b"))
     got = neardup.components(e.unionByName(spark.createDataFrame([("x", "y")], "a string, b string"))).collect()
     assert collections.Counter(r.comp for r in got) == {"v000": 61, "x": 2}
