@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions import raster, vocab
+from ..functions import raster, similarity, vocab
 from ..operators import check, evaluate, images, observe, pages, series, triage, trials
 from ..sources import readers, writers
+from ..streaming import arrivals
 from .cases import pick, t
 from .queries import query
 
@@ -419,3 +420,69 @@ def _(s, sf):
 @query("sorted_json", "SELECT CAST(to_json(struct_pack(a := n_regionkey, b := CASE WHEN n_nationkey % 2 = 0 THEN n_name END, c := n_nationkey)) AS VARCHAR) AS value FROM nation")
 def _(s, sf):
     return writers.sorted_json(t(s, sf, "nation").select(F.col("n_nationkey").alias("c"), F.col("n_regionkey").alias("a"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).alias("b")))
+
+
+# Text and scores -------------------------------------------------------------------------------
+
+
+@query("strip_accents", "SELECT c_custkey, strip_accents(translate(n_name, 'AEIOUN', 'ÁÊÌÖǗÑ') || ' é' || c_custkey) AS v FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def _(s, sf):
+    rows = t(s, sf, "customer").join(F.broadcast(t(s, sf, "nation").select("n_nationkey", F.translate("n_name", "AEIOUN", "ÁÊÌÖǗÑ").alias("n"))), F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.select("c_custkey", similarity.without_accents(F.concat("n", F.lit(" é"), F.col("c_custkey").cast("string"))).alias("v"))
+
+
+@query("meaningful_share", r"WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), lambda x: x <> '') AS w FROM documents) SELECT doc_id, coalesce(len(list_filter(w, lambda x: regexp_full_match(x, '[A-Za-z]{3,}')))::DOUBLE / nullif(len(w), 0), 0.0) AS share FROM w")
+def _(s, sf):
+    return t(s, sf, "documents").select("doc_id", series.meaningful_share(F.coalesce("text", F.lit(""))).alias("share"))
+
+
+@query("combined_score", "SELECT l_orderkey, l_linenumber, round(0.55 * l_tax * 10 + 0.20 * l_discount * 10 + 0.15 * (l_quantity / 50) + 0.10 * least(greatest((l_quantity * 3 - 20) / 100.0, 0.0), 1.0) - 0.05 * least(l_linenumber / 3.0::DOUBLE, 1.0), 9) AS score, count(*) AS n FROM lineitem GROUP BY ALL")
+def _(s, sf):
+    score = series.combined_score(F.col("l_discount") * 10, F.col("l_tax") * 10, F.col("l_quantity") * 3 - 20, F.col("l_quantity") / 50, F.col("l_linenumber"))
+    return t(s, sf, "lineitem").groupBy("l_orderkey", "l_linenumber", F.round(score.cast("double"), 9).alias("score")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("candidate_score", "SELECT doc_id, round(25.0 * (doc_id % 2 = 0)::INT + doc_id % 20 + 10.0 * (doc_id % 10 / 10.0::DOUBLE) + 6.0 * (doc_id % 7) + 0.02 * CASE WHEN doc_id % 3 = 0 THEN 0.0 ELSE doc_id % 100 END + 0.005 * least(length(regexp_replace(text, '^ +| +$', '', 'g')), 500), 9) AS score FROM documents WHERE text IS NOT NULL")
+def _(s, sf):
+    k = F.col("doc_id")
+    score = pages.candidate_score(F.col("text"), F.when(k % 3 != 0, k % 100), k % 2 == 0, k % 20, k % 10 / 10.0, k % 7)
+    return t(s, sf, "documents").where("text IS NOT NULL").select("doc_id", F.round(score.cast("double"), 9).alias("score"))
+
+
+@query("classification_confidence", """WITH c AS (SELECT p_partkey, (p_partkey % 2) * 8 + (p_partkey // 2 % 2) * 4 + (p_partkey // 4 % 2) * 2 + (p_partkey // 8 % 2) * 3 + (p_partkey // 16 % 2) * 3 AS score, p_partkey % 2 = 1 AS headed FROM part)
+SELECT p_partkey, CASE WHEN score >= 5 THEN 'fee_receipt' ELSE 'unknown' END AS document_type, score, CASE WHEN score >= 5 THEN round(least(CASE WHEN headed THEN 9.0 ELSE 0.9 END, 1.0, 0.35::DOUBLE + 0.035 * score + 0.04 * score), 3) ELSE 0.0 END AS confidence FROM c""")
+def _(s, sf):
+    k = F.col("p_partkey")
+    bit = lambda n, text: F.when(F.floor(k / n) % 2 == 1, text)
+    text = F.concat_ws(" ~ ", bit(1, "Fee-Receipt"), bit(2, "FEE STATUS: x"), bit(4, "amount 7"), bit(8, "Waiver|Code"), bit(16, "payment / reference"), F.lit("nothing else"))
+    return t(s, sf, "part").select("p_partkey", pages.classified(text).alias("c")).select("p_partkey", "c.document_type", "c.score", "c.confidence")
+
+
+@query("registry_fields", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'Zed Quill ' || chr(CAST(65 + o_custkey % 26 AS INT)) END AS applicant, 'World ' || o_custkey AS home_world, CASE WHEN o_orderkey % 3 <> 0 THEN 'ORION_GRAYS' END AS species_code, CASE WHEN o_orderkey % 5 = 0 THEN 'Under embargo' ELSE 'Clear' END AS registry_status, '2026/' || (o_custkey % 9 + 1) || '/07' AS arrival_date FROM orders")
+def _(s, sf):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    text = F.concat_ws(" ", F.lit("PLANETARY REGISTRY EXTRACT"), F.when(k % 2 == 0, F.concat(F.lit("Registry Name: Zed Quill "), F.char(65 + c % 26))), F.lit("Home World - World"), c.cast("string"), F.when(k % 3 != 0, "Species Code; ORION_GRAYS"), F.when(k % 5 == 0, "Registry Status: Under embargo").otherwise("Registry Status. Clear"), F.concat(F.lit("Antval Date: 2026/"), (c % 9 + 1).cast("string"), F.lit("/07")), F.lit("Packet MIB-000001 / page 2"))
+    m = t(s, sf, "orders").select("o_orderkey", pages.extracted(F.lit("registry_extract"), text).alias("f"))
+    return m.select("o_orderkey", *[m.f[x].alias(x) for x in ("applicant", "home_world", "species_code", "registry_status", "arrival_date")])
+
+
+@query("note_fields", "SELECT o_orderkey, 'MIB-' || o_custkey AS case_id, CASE o_orderkey % 3 WHEN 0 THEN 'DENIED' WHEN 1 THEN 'REVIEW' END AS decision, CASE WHEN o_orderkey % 2 = 0 THEN 'flag ' || o_orderkey || ' on file' END AS reason FROM orders")
+def _(s, sf):
+    k = F.col("o_orderkey")
+    text = F.concat(F.lit("Adjudicator note on mib-0 and MIB-"), F.col("o_custkey").cast("string"), F.lit("\n"), F.when(k % 3 == 0, "Finding: DENIED").when(k % 3 == 1, " REVIEW ").otherwise("Finding: open"), F.lit("\n"), F.when(k % 2 == 0, F.concat(F.lit("Reason:  flag "), k.cast("string"), F.lit(" on file"))).otherwise("no reason"), F.lit(" Packet MIB-000001 / page 3"))
+    text = F.replace(text, F.lit("mib-0 and "), F.lit(""))
+    m = t(s, sf, "orders").select("o_orderkey", pages.extracted(F.lit("adjudicator_note"), text).alias("f"))
+    return m.select("o_orderkey", *[m.f[x].alias(x) for x in ("case_id", "decision", "reason")])
+
+
+@query("extraction_score", "SELECT CAST(sum(CASE WHEN c_custkey % 3 <> 0 THEN 5 ELSE 0 END + CASE WHEN c_custkey % 5 <> 0 THEN 4 ELSE 0 END) AS BIGINT) AS raw, CAST(count(*) * 9 AS BIGINT) AS most, 50 * (sum(CASE WHEN c_custkey % 3 <> 0 THEN 5 ELSE 0 END + CASE WHEN c_custkey % 5 <> 0 THEN 4 ELSE 0 END)::DOUBLE / (count(*) * 9)) AS score FROM customer")
+def _(s, sf):
+    k = F.col("c_custkey")
+    pairs = t(s, sf, "customer").select(k.alias("case_id"), F.lit("XW-1").alias("truth_visa_class"), F.when(k % 3 != 0, "xw-1").alias("pred_visa_class"), F.lit("paid").alias("truth_fee_status"), F.when(k % 5 != 0, "paid").otherwise("waived").alias("pred_fee_status"), F.lit(True).alias("present"), F.lit(None).cast("array<string>").alias("unrecoverable"))
+    e = evaluate.extraction_score(evaluate.field_scores(pairs, {"visa_class": 5, "fee_status": 4}))
+    return e.select(F.col("raw").cast("bigint").alias("raw"), F.col("most").cast("bigint").alias("most"), "score")
+
+
+@query("first_arrivals", "SELECT DISTINCT user_id FROM events")
+def _(s, sf):
+    return arrivals.first_arrivals(t(s, sf, "events"), "user_id", "ts").select("user_id")
