@@ -487,3 +487,90 @@ def aligned(image: np.ndarray) -> tuple[np.ndarray, int]:
                 out[top:bottom] = _moved(g[top:bottom], x - middle)
                 count += 1
     return out, count
+
+
+# Ruled lines -----------------------------------------------------------------------------------
+
+# Which lines tell how a page lies.
+LEAST_LENGTH, SOLID, EDGE_MARGIN, LEAST_RULES, DARK_SHARE, STEEPEST = 0.15, 0.97, 0.03, 3, 55, 30
+#: Degrees between the slopes that are tried, first over all and then around the best.
+COARSE, FINE = 0.5, 0.05
+
+
+def _rules_along(slack: np.ndarray, ink: np.ndarray, angle: float, least: int) -> list[tuple[int, float, float, int, int]]:
+    """(pixels of ink, angle, row at column 0, first and last column) of solid runs that lean by an angle, at least so long."""
+    rows, columns = np.nonzero(slack)
+    at = np.rint(rows - columns * math.tan(math.radians(angle))).astype(int)
+    low = int(at.min(initial=0))
+    found = []
+    for line in np.flatnonzero(np.bincount(at - low) >= least):
+        mine = np.flatnonzero(at - low == line)
+        mine = mine[np.argsort(columns[mine])]
+        x = columns[mine]
+        breaks = np.flatnonzero(np.diff(x) > max(2, int(least * LEAST_LENGTH)))
+        for a, b in zip(np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [len(x) - 1])), strict=True):
+            length = x[b] - x[a] + 1
+            if length >= least and (b - a + 1) / length >= SOLID:
+                found.append((int(ink[rows[mine[a : b + 1]], x[a : b + 1]].sum()), angle, float(line + low), int(x[a]), int(x[b])))
+    return found
+
+
+def _rules(image: np.ndarray, least: int) -> list[tuple[float, float, float]]:
+    """(angle, darkness, distance of the middle from the nearer end of the rows) of ruled lines, one per line drawn."""
+    ink = image <= otsu(image)
+    ink &= ~(np.roll(ink, 3, 0) & np.roll(ink, -3, 0))  # a rule is thin; a block of ink is none
+    slack = ink | np.roll(ink, 1, 0) | np.roll(ink, -1, 0)  # a pixel of it, as edges are soft
+    found: list = []
+    for coarse in np.arange(-STEEPEST, STEEPEST + COARSE, COARSE):
+        if _rules_along(slack, ink, float(coarse), max(8, least // 3)):
+            for fine in np.arange(coarse - COARSE / 2, coarse + COARSE / 2 + FINE / 2, FINE):
+                found += _rules_along(slack, ink, float(fine), least)
+    lines: list[list[tuple]] = []
+    row_at = lambda r, x: r[2] + x * math.tan(math.radians(r[1]))
+    for rule in sorted(found, reverse=True):  # the one with most ink first; others of nearly as much along the same line share in its angle
+        for line in lines:
+            x = (rule[3] + rule[4]) / 2
+            if abs(row_at(rule, x) - row_at(line[0], x)) <= 6 and rule[3] <= line[0][4] and rule[4] >= line[0][3]:
+                if rule[0] >= 0.98 * line[0][0]:
+                    line.append(rule)
+                break
+        else:
+            lines.append([rule])
+    out = []
+    for line in lines:
+        angle = float(np.median([r[1] for r in line]))
+        _, lean, row, a, b = line[0]
+        xs = np.linspace(a, b, 25).astype(int)
+        ys = np.clip(np.rint(row + xs * math.tan(math.radians(lean))).astype(int), 0, image.shape[0] - 1)
+        place = row_at(line[0], (a + b) / 2)
+        out.append((angle, float(image[ys, xs].mean()), min(place, image.shape[0] - place)))
+    return out
+
+
+def robust_median(values: np.ndarray, k: float = 3.0) -> float:
+    """The median of the values nearer to the median than k times the median distance from it."""
+    middle = np.median(values)
+    near = values[np.abs(values - middle) < k * (np.median(np.abs(values - middle)) + 1e-6)]
+    return float(np.median(near)) if len(near) else float(middle)
+
+
+def page_geometry(image: np.ndarray) -> tuple[float, float] | None:
+    """(rotation, shear) in degrees by the darkest ruled lines; None with too few of them, no shear with too few upright ones."""
+    g = grey(image)
+    least = int(min(g.shape) * LEAST_LENGTH)
+
+    def tilt(rules: list) -> float | None:
+        if len(rules) < LEAST_RULES:
+            return None
+        level = np.percentile([r[1] for r in rules], DARK_SHARE)
+        dark = [r for r in rules if r[1] <= level]
+        return robust_median(np.array([r[0] for r in (dark if len(dark) >= LEAST_RULES else rules)]))
+
+    across = _rules(g, least)
+    down = [r for r in _rules(np.ascontiguousarray(g.T), least) if r[2] >= g.shape[1] * EDGE_MARGIN]
+    if len(across) + len(down) < 2 * LEAST_RULES:
+        return None
+    rotation, lean = tilt(across), tilt(down)  # of an upright rule the transposed image shows the tilt
+    if rotation is None:
+        return None
+    return rotation, 0.0 if lean is None else -(lean + rotation)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.functions import raster
-from caseloom.operators import images, series, trials
+from caseloom.operators import flow, images, series, trials
 
 
 def noise(seed=0, height=23, width=31):
@@ -226,3 +226,54 @@ def test_preparation():
     assert (images.prepared(p, False) == p).all() and images.prepared(p, True).shape == p.shape
     assert (images.configured(p[:40, :40], {"invert": True}) == 255 - p[:40, :40]).all()
     assert images.configured(p[:40, :40], {"upscale": 1.5, "clahe": True, "denoise": True, "sharpen_method": "unsharp", "threshold_method": "otsu"}).shape == (60, 60)
+
+
+def ruled(height=300, width=400):
+    out = np.full((height, width), 255, np.uint8)
+    for y in (60, 110, 160, 210):
+        out[y : y + 2, 60:340] = 0
+    for x in (60, 200, 338):
+        out[60:212, x : x + 2] = 0
+    return out
+
+
+def test_page_geometry():
+    assert max(map(abs, raster.page_geometry(ruled()))) < 0.11 and raster.page_geometry(np.full((80, 80), 255, np.uint8)) is None
+    for angle in (3.0, -4.0):
+        rotation, shear = raster.page_geometry(raster.turned(ruled(), angle))
+        assert abs(rotation + angle) < 0.3 and abs(shear) < 0.6
+    values = np.array([1.0, 1.1, 0.9, 30.0])
+    assert raster.robust_median(values) == 1.0
+
+
+def page_engine():
+    def engine(a, config):
+        """Reads a page whose border stands in one column; a line by itself reads as its fee."""
+        if a.shape[0] < 60:
+            return [(w, 90.0) for w in "Fee Status: paid".split()] if a.min() < 128 else []
+        dark = (a[:, 10:15] < 128).all(1).mean()
+        if dark > 0.95:
+            return [(w, 80.0) for w in "MIB Fee Receipt Case ID: MIB-000123 Amount: $120.00 Waiver Code: N/A Packet MIB-000123 / page 2".split()]
+        return [("zzz", 20.0)]
+
+    return engine
+
+
+def test_flow_of_pages(spark):
+    whole = page()
+    torn = whole.copy()
+    torn[150:260] = raster._moved(whole[150:260], -35)
+    native = "MIB Fee Receipt Case ID: MIB-000009 Fee Status: paid"
+    rows = [("native", native, True, as_row(whole)), ("plain", "junk", False, as_row(whole)), ("turned", None, False, as_row(raster.rotated(whole, 90))), ("torn", None, False, as_row(torn)), ("none", None, False, None)]
+    df = spark.createDataFrame(rows, f"page string, native_text string, native_text_usable boolean, image {images.IMAGE}").withColumns({"suspicious_text_layer": F.lit(False), "quality_class": F.lit("scan_readable"), "low_contrast": F.lit(False), "low_sharpness": F.lit(False)})
+    got = {r.page: r for r in flow.processed(df, page_engine()).collect()}
+    assert {k: r.text_source for k, r in got.items()} == {"native": "native_text", "plain": "ocr", "turned": "ocr", "torn": "ocr", "none": "ocr"}
+    assert got["native"].fields["fee_status"] == "paid" and not got["native"].orientation_retry_attempted
+    assert got["plain"].selected_rotation == 0 and not got["plain"].orientation_retry_attempted and got["plain"].fields["amount"] == "120.00" and got["plain"].case_id_candidates.footer == "MIB-000123"
+    assert got["turned"].selected_rotation == 270 and got["turned"].orientation_retry_attempted and got["turned"].document_type == "fee_receipt"
+    assert got["torn"].tear_repair_attempted and got["torn"].tear_repair_applied and got["torn"].fields["amount"] == "120.00"
+    assert got["none"].text == "" and got["none"].document_type == "unknown"
+    lines = [("Amount: $120.00 page", 0, 9), ("Fec Stat", 20, 9), ("Packet 1", 40, 9)]
+    one = spark.createDataFrame([(as_row(whole), "fee_receipt", {"amount": "120.00"}, lines)], f"image {images.IMAGE}, document_type string, fields map<string,string>, lines array<struct<text:string,top:int,height:int>>")
+    r = flow.lines_read_again(one, page_engine()).first()
+    assert r.fields == {"amount": "120.00", "fee_status": "paid"} and r.line_retry_applied
