@@ -20,6 +20,17 @@ def last_wins(df: DataFrame, key: str, *order: str) -> DataFrame:
     return first_wins(df, key, *[F.desc(c) for c in order])
 
 
+def index_counts(df: DataFrame, key: str) -> DataFrame:
+    """One row: how many rows there are, how many without an id, how many repeat an id before them, how many ids are kept."""
+    value = F.coalesce(F.trim(F.col(key).cast("string")), F.lit(""))
+    per = df.groupBy(value.alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    given = F.col("_id") != ""
+    return per.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(~given, F.col("_n"))), F.lit(0)).alias("blank"),
+        F.coalesce(F.sum(F.when(given, F.col("_n") - 1)), F.lit(0)).alias("repeated"), F.count_if(given).alias("kept"),
+    )
+
+
 def class_points(truth: Column, pred: Column) -> Column:
     """Points of a decision; the order of the tests matters, and what is no decision gets none."""
     return (

@@ -25,6 +25,12 @@ def pages_per_case(pages: DataFrame, packet: str = "packet", case: str = "case_i
     return pages.groupBy(packet, case).agg(F.array_join(F.array_sort(F.collect_set(page)).cast("array<string>"), ",").alias("pages"), F.count(F.lit(1)).alias("n"))
 
 
+def value_sets(rows: DataFrame, keys: list[str], field: str = "field", value: str = "value") -> DataFrame:
+    """The distinct non-blank values of each field, sorted."""
+    v = F.nullif(F.trim(F.col(value)), F.lit(""))
+    return rows.groupBy(*keys, field).agg(F.array_sort(F.collect_set(v)).alias("values")).where(F.size("values") > 0)
+
+
 def link_scores(page_values: DataFrame, case_values: DataFrame) -> DataFrame:
     """Best case per page: score, margin to the next, matched and conflicting fields.
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions import raster, similarity, vocab
-from ..operators import check, evaluate, images, observe, pages, series, triage, trials
+from ..functions import normalize, raster, similarity, vocab
+from ..operators import check, evaluate, identity, images, observe, pages, series, triage, trials
 from ..sources import readers, writers
 from ..streaming import arrivals
 from .cases import pick, t
@@ -486,3 +486,45 @@ def _(s, sf):
 @query("first_arrivals", "SELECT DISTINCT user_id FROM events")
 def _(s, sf):
     return arrivals.first_arrivals(t(s, sf, "events"), "user_id", "ts").select("user_id")
+
+
+@query("index_counts", "WITH c AS (SELECT CASE WHEN event_id % 11 = 0 THEN ' ' ELSE 'u' || user_id END AS k FROM events), g AS (SELECT trim(k) AS k, count(*) AS n FROM c GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(coalesce(sum(n) FILTER (k = ''), 0) AS BIGINT) AS blank, CAST(sum(n - 1) FILTER (k <> '') AS BIGINT) AS repeated, count(*) FILTER (k <> '') AS kept FROM g")
+def _(s, sf):
+    e = t(s, sf, "events").select(F.when(F.col("event_id") % 11 == 0, " ").otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("k"))
+    return evaluate.index_counts(e, "k")
+
+
+@query("value_sets", "SELECT l_orderkey, l_returnflag AS field, array_to_string(list_sort(list_distinct(list(CASE WHEN l_linenumber <> 2 THEN CAST(l_suppkey AS VARCHAR) END))), ',') AS v FROM lineitem GROUP BY 1, 2 HAVING count(CASE WHEN l_linenumber <> 2 THEN 1 END) > 0")
+def _(s, sf):
+    rows = t(s, sf, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("field"), F.when(F.col("l_linenumber") == 2, "  ").otherwise(F.concat(F.lit(" "), F.col("l_suppkey").cast("string"))).alias("value"))
+    return identity.value_sets(rows, ["l_orderkey"]).select("l_orderkey", "field", F.array_join("values", ",").alias("v"))
+
+
+def _read_badly(values: Column, k: Column) -> Column:
+    """A value as written, in capitals with wide gaps, with accents, with a letter misread."""
+    return F.when(k % 4 == 0, values).when(k % 4 == 1, F.replace(F.upper(values), F.lit(" "), F.lit("   "))).when(k % 4 == 2, F.translate(values, "aeo", "áëö")).otherwise(F.concat(F.substring(values, 1, 2), F.lit("q"), F.substr(values, F.lit(4))))
+
+
+def _normal(s, sf, field: str, values: tuple[str, ...], key: str = "o_orderkey") -> DataFrame:
+    k = F.col(key)
+    raw = _read_badly(pick(F.floor(k / 4) % len(values), values), k)
+    rows = t(s, sf, "orders").select(key, F.lit(field).alias("field"), raw.alias("raw_value"))
+    return normalize.normalized(rows, out="v").select(key, "v")
+
+
+@query("norm_home_world", f"SELECT o_orderkey, {list(vocab.HOME_WORLDS)}[o_orderkey // 4 % {len(vocab.HOME_WORLDS)} + 1] AS v FROM orders")
+def _(s, sf):
+    return _normal(s, sf, "home_world", vocab.HOME_WORLDS)
+
+
+@query("norm_purpose", f"SELECT o_orderkey, {list(vocab.PURPOSES)}[o_orderkey // 4 % {len(vocab.PURPOSES)} + 1] AS v FROM orders WHERE o_orderkey % 4 <> 2")
+def _(s, sf):
+    return _normal(s, sf, "declared_purpose", vocab.PURPOSES).where("o_orderkey % 4 <> 2")
+
+
+@query("norm_applicant", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN c_name ELSE c_name || ' x' END AS v FROM customer")
+def _(s, sf):
+    k = F.col("c_custkey")
+    raw = F.when(k % 3 == 0, pick(F.floor(k / 3) % 3, ("[NAME CUT OUT]", "(NAME CUT OLIT] Species", "name cut 0ut"))).when(k % 3 == 1, F.concat(F.lit("  "), "c_name")).otherwise(F.concat("c_name", F.lit(" x ")))
+    rows = t(s, sf, "customer").select("c_custkey", F.lit("applicant_name").alias("field"), raw.alias("raw_value"))
+    return normalize.normalized(rows, out="v").select("c_custkey", "v")

@@ -17,6 +17,34 @@ def packets(spark: SparkSession, path: str, content: bool = True) -> DataFrame:
     return files.select(*columns, *(["content"] if content else []))
 
 
+def file_sizes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """One row: number and bytes of the files under a folder whose names match; contents are not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
+    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+def text_layers(files: DataFrame, reader) -> DataFrame:
+    """(case_id, page_number, width, height, text, words, blocks, spans) of the pages of files (case_id, content).
+
+    ``reader`` is not part of this library: a function of a file's bytes that gives, per
+    page, a dict of width, height, text, words, blocks and spans (text, color, bbox of
+    x0, y0, x1, y1).
+    """
+    import pandas as pd
+
+    span = "struct<text:string,color:int,bbox:struct<x0:double,y0:double,x1:double,y1:double>>"
+    names = ["width", "height", "text", "words", "blocks", "spans"]
+
+    def run(frames):
+        for frame in frames:
+            for case, content in zip(frame["case_id"], frame["content"], strict=True):
+                found = list(reader(content)) if content is not None else []
+                if found:
+                    yield pd.DataFrame([{"case_id": case, "page_number": n, **{k: page.get(k) for k in names}} for n, page in enumerate(found, 1)], columns=["case_id", "page_number", *names])
+
+    return files.select("case_id", "content").mapInPandas(run, f"case_id string, page_number int, width double, height double, text string, words array<string>, blocks int, spans array<{span}>")
+
+
 def csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None, multiline: bool = True) -> DataFrame:
     """A CSV with header, every column a string; a byte order mark is dropped. With ``columns`` the header must be exactly these.
 

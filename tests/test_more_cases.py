@@ -210,3 +210,21 @@ def test_more_sources_and_sinks(spark, tmp_path):
 def test_orders(spark):
     s = spark.createDataFrame([("b", 2.0, 5), ("a", 2.0, 5), ("c", 9.0, 1)], "case_id string, top_priority double, weighted int")
     assert [r.case_id for r in triage.by_urgency(s).collect()] == ["c", "a", "b"]
+
+
+def test_files_and_text_layers(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"12345")
+    (tmp_path / "b.txt").write_bytes(b"1")
+    assert tuple(readers.file_sizes(spark, str(tmp_path)).first()) == (2, 6) and tuple(readers.file_sizes(spark, str(tmp_path), "*.bin").first()) == (1, 5)
+
+    def reader(content):
+        box = {"x0": 0.0, "y0": 0.0, "x1": 9.0, "y1": 9.0}
+        return [{"width": 100.0, "height": 50.0, "text": w, "words": [w], "blocks": 1, "spans": [{"text": w, "color": 0, "bbox": box}, {"text": "hidden", "color": 0xFFFFFF, "bbox": box}]} for w in content.decode().split()]
+
+    files = spark.createDataFrame([("c", bytearray(b"one two")), ("d", None)], "case_id string, content binary")
+    got = readers.text_layers(files, reader).withColumn("seen", pages.visible_text(F.col("spans"), F.col("width"), F.col("height"))).orderBy("page_number").collect()
+    assert [(r.case_id, r.page_number, r.seen) for r in got] == [("c", 1, "one"), ("c", 2, "two")]
+
+
+def test_counts_of_nothing(spark):
+    assert tuple(evaluate.index_counts(spark.createDataFrame([], "k string"), "k").first()) == (0, 0, 0, 0)
