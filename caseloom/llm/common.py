@@ -64,13 +64,13 @@ def removed(*tables: DataFrame) -> None:
 BLOCK_BYTES = 1 << 18
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """The batches in slices whose texts, in the column of this number, have at most ``BLOCK_BYTES`` together."""
+def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts, in the column of this number, have at most this many bytes together, or that are one row."""
     for batch in batches:
         sizes = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy()
         at = 0
         while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BLOCK_BYTES, "right")))
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))
             yield batch.slice(at, to - at)
             at = to
 

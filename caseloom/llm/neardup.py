@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import removed, table, written
+from .common import removed, slices, table, written
 from .shingles import mix, set_key, shingle_sets
 
 WIDTH, PERCENT = 4, 80
@@ -51,6 +51,8 @@ BANDS = M // ROWS
 GROUPS = (range(4), range(4, BANDS))
 #: Standard deviations of the estimate that a pair may lie below the threshold and still be verified.
 SLACK = 4.5
+#: Bytes of text that are sketched at a time, and shingles of sets that a task keeps at hand.
+SKETCHED, KEPT_SHINGLES = 1 << 20, 1 << 21
 #: Members of a bucket compared in one task, on either side.
 TILE = 1024
 #: Partners of a minor member of a bucket that are tested before the rest.
@@ -131,15 +133,13 @@ def hopeful(n_a: np.ndarray, n_b: np.ndarray, regs_a: np.ndarray, regs_b: np.nda
 
 def _sketched(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                sets = shingle_sets([t or "" for t in batch.column(1).to_pylist()], width)
-                regs = registers(sets)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())],
-                    names=["doc_id", "text_hash", "n_shingles", "key", "regs"],
-                )
+        for batch in slices(batches, 1, SKETCHED):
+            sets = shingle_sets([t or "" for t in batch.column(1).to_pylist()], width)
+            regs = registers(sets)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "key", "regs"],
+            )
 
     return run
 
@@ -292,15 +292,18 @@ def _linked(width: int, percent: int):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: OrderedDict[bytes, np.ndarray] = OrderedDict()
+        held = 0
 
         def sets_of(keys: pd.Series, texts: pd.Series) -> None:
+            nonlocal held
             new = {k: t for k, t in zip(keys, texts, strict=True) if k not in known}
             for k, s in zip(new, shingle_sets(list(new.values()), width), strict=True):
                 known[k] = s
+                held += len(s)
 
         for frame in frames:
-            for at in range(0, len(frame), 256):
-                f = frame.iloc[at : at + 256]
+            for at in range(0, len(frame), 64):
+                f = frame.iloc[at : at + 64]
                 sets_of(f["a"], f["text_a"])
                 sets_of(f["b"], f["text_b"])
                 good = []
@@ -309,8 +312,8 @@ def _linked(width: int, percent: int):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     good.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield f.loc[good, ["a", "b"]]
-                while len(known) > 1024:
-                    known.popitem(last=False)
+                while held > KEPT_SHINGLES:
+                    held -= len(known.popitem(last=False)[1])
 
     return run
 

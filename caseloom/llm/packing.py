@@ -205,7 +205,7 @@ def _placer(runs: dict[int, np.ndarray]):
 def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece with its place: the columns of the pieces, sequence_id, offset."""
     pieces = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_cutter(path), _PIECES)
-    pieces = checkpointed(pieces)
+    pieces = checkpointed(pieces).withColumn("row", F.monotonically_increasing_id())  # of rows that are written down, so that it stays
     size = F.floor((F.col("length") - 1) / GRAIN).cast("int")
     counts = pieces.groupBy(size.alias("size")).count().collect()  # at most BINS rows
     demand = np.zeros(BINS, np.int64)
@@ -213,11 +213,11 @@ def packed(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         demand[r["size"]] = r["count"]
     total = int(demand.sum())
     chunk_count = max(1, math.ceil(total / max(CHUNK, math.isqrt(total))))
-    ranked = pieces.withColumn("size", size).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(chunk_count)))
+    ranked = pieces.withColumn("size", size).withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunk_count)))
     before = ranked.groupBy("size", "chunk").agg(F.count(F.lit(1)).alias("n"))
     order = W.partitionBy("size").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     before = before.select("size", "chunk", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
-    inside = W.partitionBy("size", "chunk").orderBy(F.desc("length"), "doc_id", "start", "ids_crc32")
+    inside = W.partitionBy("size", "chunk").orderBy(F.desc("length"), "row")
     ranked = ranked.withColumn("inside", F.row_number().over(inside)).join(before, ["size", "chunk"])
     ranked = ranked.withColumn("rank", F.col("before") + F.col("inside") - 1).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "size", "rank")
     placed = ranked.mapInArrow(_placer(plan(demand)), _PIECES + ", sequence_id long")

@@ -139,11 +139,13 @@ def _forward(m: dict, x: np.ndarray, counts: np.ndarray) -> dict:
 
 
 def train(x: np.ndarray, counts: np.ndarray, y: np.ndarray) -> dict:
-    """Weights fitted to bags of passages with labels 0 or 1."""
+    """Weights fitted to bags of passages with labels 0 or 1; passages may be in half precision and become single by batches."""
     rng = np.random.default_rng(SEED)
     f = x.shape[1]
+    mean = x.mean(0, dtype=np.float64)
+    square = sum((((x[i : i + 4096].astype(np.float32) - mean) ** 2).sum(0) for i in range(0, len(x), 4096)), np.zeros(f))
     m = {
-        "mean": x.mean(0), "scale": 1 / (x.std(0) + 0.02), "W": rng.normal(0, f**-0.5, (f, HIDDEN)), "b": np.zeros(HIDDEN),
+        "mean": mean, "scale": 1 / (np.sqrt(square / max(1, len(x))) + 0.02), "W": rng.normal(0, f**-0.5, (f, HIDDEN)), "b": np.zeros(HIDDEN),
         "V": rng.normal(0, HIDDEN**-0.5, (HIDDEN, ATTENTION)), "U": rng.normal(0, HIDDEN**-0.5, (HIDDEN, ATTENTION)), "w": rng.normal(0, 0.1, ATTENTION),
         "o": np.zeros(HIDDEN), "c": np.zeros(1),
     }
@@ -158,7 +160,7 @@ def train(x: np.ndarray, counts: np.ndarray, y: np.ndarray) -> dict:
             pick = order[at : at + 64]
             rows = np.concatenate([np.arange(starts[i], starts[i] + counts[i]) for i in pick])
             c = counts[pick]
-            r = _forward(m, x[rows], c)
+            r = _forward(m, x[rows].astype(np.float32), c)
             dz_p = ((r["p"] - y[pick]) / len(pick)).astype(np.float32)
             grad = {"o": r["z"].T @ dz_p, "c": dz_p.sum(keepdims=True)}
             dz = dz_p[:, None] * m["o"]
@@ -226,9 +228,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _fitted(rows: list[dict]) -> dict:
-    rows = sorted(rows, key=lambda r: r["doc_id"])
-    bags = [np.frombuffer(r["x"], np.float16).reshape(-1, N_FEATURES).astype(np.float32) for r in rows]
-    return train(np.concatenate(bags), np.array([len(b) for b in bags]), np.array([r["y"] for r in rows], np.float32))
+    rows.sort(key=lambda r: r["doc_id"])
+    counts = np.array([len(r["x"]) // (2 * N_FEATURES) for r in rows])
+    y = np.array([r["y"] for r in rows], np.float32)
+    x = np.frombuffer(b"".join(r["x"] for r in rows), np.float16).reshape(-1, N_FEATURES)
+    rows.clear()
+    return train(x, counts, y)
 
 
 def _scorer(model: dict | None):
