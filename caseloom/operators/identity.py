@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -61,15 +63,54 @@ def link_scores(page_values: DataFrame, case_values: DataFrame) -> DataFrame:
     return best.withColumn("safe", (F.col("matched") >= 2) & (F.col("score") >= 7) & (F.col("score") - F.col("second") >= 3) & ~clash)
 
 
+#: Characters that a block of alike ids may leave out of either; beyond, ids of two lengths meet pair by pair.
+MOST_LEFT_OUT = 3
+
+
+def _shortened(x: Column, n: int) -> Column:
+    """The distinct strings that are left when n characters are taken out."""
+    out = F.array(x)
+    for _ in range(n):
+        out = F.array_distinct(F.flatten(F.transform(out, lambda s: F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1))))))
+    return out
+
+
 def near_established(pages: DataFrame, packet: str = "packet", case: str = "case_id", least: float = 0.85) -> DataFrame:
-    """(packet, case_id, assigned): ids seen once that read like an established id of the packet; the nearest, then the least."""
+    """(packet, case_id, assigned): ids seen once that read like an established id of the packet; the nearest, then the least.
+
+    Matching blocks are a common subsequence, so ids that are alike share what is left
+    of each without a few characters. Ids of a packet meet on that, by a join of equal
+    strings, and are then compared; ids so long that too many characters may differ
+    meet pair by pair.
+    """
     from ..functions.similarity import ratio_udf
 
     per = pages.where(F.col(case).isNotNull()).groupBy(packet, case).agg(F.count(F.lit(1)).alias("pages"))
     lone = per.where("pages = 1").select(packet, F.col(case).alias("case_id"))
     known = per.where("pages > 1").select(packet, F.col(case).alias("assigned"))
-    # Only ids of one packet meet, and only those whose lengths leave the ratio within reach.
-    a, b = F.length("case_id"), F.length("assigned")
-    met = lone.join(known, packet).where(2 * F.least(a, b) >= least * (a + b) - 1e-9).withColumn("ratio", ratio_udf("case_id", "assigned")).where(F.col("ratio") >= least)
+    sizes = sorted(r["n"] for r in per.select(F.length(case).alias("n")).distinct().collect())  # one row per length of an id
+    shared, apart = {}, []
+    for a in sizes:
+        for b in sizes:
+            block = math.ceil(least * (a + b) / 2 - 1e-9)
+            if block <= min(a, b):
+                if max(a, b) - block <= MOST_LEFT_OUT and min(a, b) > 0:
+                    shared[a, b] = block
+                else:
+                    apart.append((a, b))
+
+    def blocks(df: DataFrame, column: str, side: int) -> DataFrame:
+        tagged = lambda tag: lambda s: F.struct(F.lit(tag).alias("tag"), s.alias("left"))
+        parts = [F.when(F.length(column) == pair[side], F.transform(_shortened(F.col(column), pair[side] - block), tagged(f"{pair[0]}/{pair[1]}"))) for pair, block in shared.items()]
+        none = F.array().cast("array<struct<tag:string,left:string>>")
+        return df.withColumn("_b", F.explode(F.flatten(F.array(*[F.coalesce(p, none) for p in parts])))).select(packet, column, "_b.tag", "_b.left")
+
+    met = lone.join(known, packet).where(F.lit(False))
+    if shared:
+        met = blocks(lone, "case_id", 0).join(blocks(known, "assigned", 1), [packet, "tag", "left"]).select(packet, "case_id", "assigned").distinct()
+    if apart:
+        pairs = F.array(*[F.struct(F.lit(a), F.lit(b)) for a, b in apart])
+        met = met.unionByName(lone.join(known, packet).where(F.array_contains(pairs, F.struct(F.length("case_id"), F.length("assigned")))))
+    met = met.withColumn("ratio", ratio_udf("case_id", "assigned")).where(F.col("ratio") >= least)
     w = W.partitionBy(packet, "case_id").orderBy(F.desc("ratio"), "assigned")
     return met.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(packet, "case_id", "assigned")

@@ -1,5 +1,6 @@
 """Outcomes of resolution, decisions, normalizers and sources, derived by hand."""
 
+import collections
 import random
 
 import pytest
@@ -155,3 +156,28 @@ def test_near_ids_of_unlike_length(spark):
     rows = [("p", "MIB-000557")] * 2 + [("p", "MIB-000557123"), ("p", "MIB-0005571234")]
     got = identity.near_established(spark.createDataFrame(rows, "packet string, case_id string")).collect()
     assert [tuple(r) for r in got] == [("p", "MIB-000557123", "MIB-000557")]
+
+
+def test_near_ids_by_all_pairs(spark):
+    """Damaged ids of several lengths against all pairs; with few characters to leave out, and with none."""
+    r = random.Random(5)
+    rows = []
+    for packet in "pq":
+        known = [f"MIB-{r.randrange(10**6):06d}" for _ in range(25)] + ["X" * 30 + f"{r.randrange(100):02d}", "a", ""]
+        rows += [(packet, k) for k in known] * 2
+        for k in known:
+            for _ in range(3):
+                v = list(k)
+                for _ in range(r.choice([1, 1, 2])):
+                    at = r.randrange(len(v) + 1)
+                    v[at : at + r.choice([0, 1])] = r.choice([[], ["0"], ["1"], list("B")])
+                rows.append((packet, "".join(v)))
+        r.shuffle(rows)
+    seen = collections.Counter(rows)
+    expected = set()
+    for (packet, one), n in seen.items():
+        scores = sorted((-similarity.ratio(one, k), k) for (p, k), m in seen.items() if p == packet and m > 1)
+        if n == 1 and -scores[0][0] >= 0.85:
+            expected.add((packet, one, scores[0][1]))
+    df = spark.createDataFrame(rows, "packet string, case_id string")
+    assert {tuple(x) for x in identity.near_established(df).collect()} == expected and len(expected) > 40
