@@ -74,7 +74,7 @@ def template_grams(spark: SparkSession, base=BASE, notices=NOTICES) -> DataFrame
     rows.append(("end", "end", None, 0, 1, 0, "", None, None))
     values = ", ".join("(" + ", ".join("CAST(NULL AS STRING)" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "\\'") + "'" for x in r) + ")" for r in rows)
     df = spark.sql(f"SELECT * FROM VALUES {values} AS t(template, kind, label, t_words, t_grams, t_at, t0, t1, t2)")
-    return df.withColumn("key", F.xxhash64("t0", "t1"))
+    return df.withColumn("key", F.when((F.col("t_words") == 1) & F.col("t1").isNull(), F.xxhash64("t0")).otherwise(F.xxhash64("t0", "t1")))
 
 
 def votes(docs: DataFrame, grams: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,8 +84,11 @@ def votes(docs: DataFrame, grams: DataFrame, id_col: str = "doc_id", text_col: s
     rolling = seq.select("row", "doc_id", F.posexplode(F.arrays_zip(F.col("w").alias("w0"), F.slice("w", 2, _ALL).alias("w1"), F.slice("w", 3, _ALL).alias("w2"))).alias("at", "g"))
     rolling = rolling.select("row", "doc_id", "at", "g.w0", "g.w1", "g.w2")
     # The end mark is last, so its successors are null as in its template.
-    hit = (F.xxhash64("w0", "w1") == F.col("key")) & F.col("w0").eqNullSafe(F.col("t0")) & F.col("w1").eqNullSafe(F.col("t1")) & (F.col("t2").isNull() | F.col("w2").eqNullSafe(F.col("t2")))
-    return rolling.join(F.broadcast(grams), hit).select("row", "doc_id", "at", "template", "kind", "label", "t_words", "t_grams", "t_at")
+    hit = F.col("w0").eqNullSafe(F.col("t0")) & (F.col("t1").isNull() | F.col("w1").eqNullSafe(F.col("t1"))) & (F.col("t2").isNull() | F.col("w2").eqNullSafe(F.col("t2")))
+    met = rolling.join(F.broadcast(grams.where("t_words <> 1")), (F.xxhash64("w0", "w1") == F.col("key")) & hit)
+    if not grams.where("t_words = 1").isEmpty():  # phrases of one word, which only callers give, are met by that word
+        met = met.unionByName(rolling.join(F.broadcast(grams.where("t_words = 1")), (F.xxhash64("w0") == F.col("key")) & hit))
+    return met.select("row", "doc_id", "at", "template", "kind", "label", "t_words", "t_grams", "t_at")
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, notices=NOTICES) -> DataFrame:
@@ -93,19 +96,21 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     grams = template_grams(docs.sparkSession, base, notices)
     key = ["row", "doc_id", "template", "kind", "label", "t_words", "t_grams"]
     lines = votes(docs, grams, id_col, text_col).groupBy(*key, (F.col("at") - F.col("t_at")).alias("diagonal")).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("at").alias("last"))
+    # A phrase has a place where all its k-grams lie on one diagonal, which is where it begins.
+    lines = lines.withColumn("place", F.when(F.col("n") == F.col("t_grams"), F.col("diagonal")))
     order = W.partitionBy("row", "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(order) > NEAR
     lines = lines.withColumn("new", F.when(apart, 1).otherwise(0)).withColumn("span", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    spans = lines.groupBy(*key, "span").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+    spans = lines.groupBy(*key, "span").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"), F.count("place").alias("places"), F.min("place").alias("first_place"), F.max("place").alias("last_place"))
     spans = spans.withColumn("coverage", F.least(F.lit(1.0), F.col("n") / F.col("t_grams")))
     fits = (F.col("last") - F.col("first") + K <= STRETCH * F.col("t_words")) & (F.col("coverage") >= COVERAGE)
-    spans = spans.where((F.col("kind") != "notice") | fits)
+    spans = spans.where(F.when(F.col("kind") == "notice", fits).otherwise(F.col("places") > 0))
     is_base, is_end = F.col("kind") == "base", F.col("kind") == "end"
     per = spans.groupBy("row", "doc_id").agg(
         F.max(F.when(is_end, F.col("last"))).cast("long").alias("n_words"),
-        F.coalesce(F.sum(F.when(is_base, F.col("n"))), F.lit(0)).cast("long").alias("n_base"),
-        F.min(F.when(is_base, F.col("first"))).cast("long").alias("first_word"),
-        F.max(F.when(is_base, F.col("last"))).cast("long").alias("last_word"),
+        F.coalesce(F.sum(F.when(is_base, F.col("places"))), F.lit(0)).cast("long").alias("n_base"),
+        F.min(F.when(is_base, F.col("first_place"))).cast("long").alias("first_word"),
+        F.max(F.when(is_base, F.col("last_place"))).cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.collect_set(F.when(is_base, F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.collect_set(F.when(~is_end, F.col("label")))), ",").alias("labels"),
         F.coalesce(F.max(F.when(~is_end, F.col("coverage"))), F.lit(0.0)).alias("score"),

@@ -121,6 +121,36 @@ def test_fingerprints(spark, partitions):
             assert abs(near - exact) < (1e-9 if len(a | b) <= fingerprint.K else 0.2)
 
 
+def test_fingerprints_of_a_hot_id(spark, monkeypatch):
+    """Half of the rows have one id, a third none; many of them are equal. Cut ids give what whole ones give."""
+    rows = [(7, f"text number {i % 40} of the id with many rows") for i in range(400)] + [(None, "the same row without an id")] * 260 + [(i, f"row {i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    whole = sorted(map(str, fingerprint.fingerprinted(df).collect()))
+    monkeypatch.setattr(fingerprint, "HOT_ROWS", 20)
+    q = fingerprint.with_next(df)
+    assert q.where("extra = 0").agg(F.sum("copies")).first()[0] == len(rows) and q.count() < 300
+    assert q.where("id = 7 AND given = 1").select("span").distinct().count() > 3
+    assert sorted(map(str, fingerprint.fingerprinted(df).collect())) == whole and len(whole) == len(rows)
+
+
+def test_very_long_text(spark):
+    text = "many different words " + " ".join(f"w{i}" for i in range(60_000))
+    r = fingerprint.fingerprinted(spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")).where("doc_id = 1").first()
+    assert r.n_chars == len(text) and 0.5 < r.near_edited <= 1 and len(r.fingerprint) == 16 * fingerprint.K
+
+
+def test_license_phrases_of_any_length(spark):
+    base = (("mit", "one"), ("cc by", "two"), ("a b c d", "four"), ("a b c d e f", "six"))
+    texts = [(1, "MIT a b c d x mit"), (2, "a b c x b c d"), (3, "a b c d e f a b c d"), (4, None), (5, "cc by mit"), (6, "a a b c d d")]
+    got = {r.doc_id: r for r in license.license_scan(frame(spark, texts), base=base).collect()}
+    for i, t in texts:
+        w = words(t)
+        places = [(k, label) for phrase, label in base for k in range(len(w)) if w[k : k + len(phrase.split())] == phrase.split()]
+        at = [k for k, _ in places]
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))), i
+
+
 def test_sketches_merge_and_estimate(spark):
     half = [f"w{i}" for i in range(3000)]
     df = spark.createDataFrame([(half[:2000], half[1000:], half)], "a array<string>, b array<string>, u array<string>")
