@@ -10,12 +10,15 @@ likelihood of labelled pages, whose gradient is observed minus expected features
 the latter from the same messages. No table has such labels, so the pages are
 written here from templates with every kind of part labelled (``labelled_pages``).
 
-Inline elements belong to the block around them. Scripts, styles, titles, drawings,
+Inline elements belong to the block around them. Scripts, styles, titles, templates,
 controls and comments never become text; a head has nothing else, and ends without
-its tag at the first text or element of the body. A control without an end tag loses
-its start tag alone. Character references are decoded, white space in a
-block becomes one space, blocks are joined in page order by one space; a page cut
-off in a tag loses that tag alone.
+its tag at the first text or element of the body. Formulas, drawings and what stands
+in players and canvases for want of them are text like any other. End tags that HTML
+lets authors omit are supplied; a control without an end tag loses its start tag
+alone, and so does a tag without its ``>``, which ends where the next tag begins.
+Quotes inside unquoted values are plain characters. Character references are
+decoded, white space in a block becomes one space, blocks are joined in page order
+by one space; a page cut off in a tag loses that tag alone.
 
 Defined results: null or empty html gives an empty text of 0 characters; repeated
 rows and ids each give a row; an empty table gives no rows; other columns are
@@ -34,17 +37,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
-# Elements by their role in HTML.
-# MathML stands in lines as well.
+# Elements by their role in HTML, MathML and SVG.
 MATH = set("math annotation menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
-INLINE = MATH | set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+DRAWN = set("svg circle clippath defs desc ellipse filter foreignobject g line lineargradient marker mask path pattern polygon polyline radialgradient rect stop symbol text textpath tspan use".split())
+INLINE = MATH | DRAWN | set("a abbr acronym audio b bdi bdo big canvas cite code data del dfn em font i ins kbd label map mark object picture q rp rt ruby s samp small span strike strong sub sup time tt u var video wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no markup: it runs to the end tag, or to the end of the page.
-RAW = "script|style|iframe|noframes|textarea|title"
+RAW = "script|style|iframe|noframes|noembed|xmp|textarea|title"
 #: Dropped with all that they hold; without an end tag only the start tag goes.
-DROPPED = "noscript|template|select|button|object|canvas|audio|video"
+DROPPED = "noscript|template|select|button"
+#: An end tag does not reach past the cell or table that it stands in.
+CELLS = set("td th caption table".split())
+TABLE = CELLS | set("tr tbody thead tfoot".split())
 SECTIONS = set("nav header footer aside form section article main div ul ol table dl figure".split())
 KINDS = "html body article main section div p heading list item nav header footer aside form table quote other".split()
 AROUND = frozenset("article main nav header footer aside form".split())
@@ -60,18 +66,20 @@ WORDS = {
     "hidden": r"display:\s*none|visibility:\s*hidden|\bhidden\b",
 }
 _WORDS = [(k, re.compile(v, re.I)) for k, v in WORDS.items()]
-_ATTRS = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+# Attributes by HTML's rules: a name, and a value in quotes or up to the next blank. Groups are atomic, so that no page is read twice.
+_ATTRS = r"""(?>(?:\s+|/|[^\s/><=][^\s/><=]*+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'><][^\s><]*+))?|=)*)"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<({RAW})(?=[\s>/]){_ATTRS}>.*?(?:</\1\s*>|\Z)"
-    rf"|<svg(?=[\s>/])(?:{_ATTRS}(?<=/)>|{_ATTRS}>.*?</svg\s*>)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    rf"|<({RAW})(?=[\s>/]){_ATTRS}>.*?(?:</\1(?=[\s>/])[^>]*(?:>|\Z)|\Z)"
     rf"|<({DROPPED})(?=[\s>/]){_ATTRS}>.*?</\2\s*>"
-    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRS})(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)({_ATTRS})(?:>|(?=<)|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_MARKS = re.compile(r"""(?:class|id|role|style)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|(\bhidden\b)""", re.I)
+_ATTR = re.compile(r"""([^\s/><=][^\s/><=]*+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'><][^\s><]*+))?""")
+_NAMING = re.compile(r"\b(?:class|id|role|style|hidden)\b", re.I)
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_CLOSES |= {x: {"tr", "td", "th", "tbody", "thead", "tfoot", "caption", "colgroup"} for x in ("tbody", "thead", "tfoot")} | {f"h{i}": {f"h{j}" for j in range(1, 7)} for i in range(1, 7)}
 
 
 def kind(tag: str) -> str:
@@ -82,6 +90,14 @@ def kind(tag: str) -> str:
     return {"ul": "list", "ol": "list", "dl": "list", "li": "item", "dt": "item", "dd": "item", "blockquote": "quote", "pre": "quote"}.get(tag, "table" if tag in ("table", "tr", "td", "th", "tbody", "thead", "tfoot", "caption") else "other")
 
 
+def _marks(attributes: str) -> str:
+    """What an element's attributes say about its part of the page."""
+    found = {}
+    for name, value in _ATTR.findall(attributes):
+        found.setdefault(name.lower(), value.strip("\"'"))
+    return " ".join([*(found[k] for k in ("class", "id", "role", "style") if k in found), *(["hidden"] if "hidden" in found else [])])
+
+
 class Page:
     """Block elements in page order, parents first, and the text runs with their owners."""
 
@@ -119,9 +135,12 @@ class Page:
             flush()
             links = 0
             if m[3]:
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if self.tags[stack[i]] == name), 0)
-                if depth:
-                    del stack[depth:]
+                for depth in range(len(stack) - 1, 0, -1):
+                    if self.tags[stack[depth]] == name:
+                        del stack[depth:]
+                        break
+                    if self.tags[stack[depth]] in CELLS and name not in TABLE:
+                        break
                 continue
             if name == "head":
                 continue
@@ -133,7 +152,7 @@ class Page:
             while closes and len(stack) > 1 and self.tags[stack[-1]] in closes:
                 stack.pop()
             self.tags.append(name)
-            self.marks.append(" ".join((a.strip("\"'") or b) for a, b in _MARKS.findall(m[5])) if m[5] else "")
+            self.marks.append(_marks(m[5]) if _NAMING.search(m[5]) else "")
             self.parent.append(stack[-1])
             self.linked.append(0)
             stack.append(len(self.tags) - 1)
@@ -251,7 +270,7 @@ def train(pages: list[str], rounds: int = 80, decay: float = 0.003) -> dict:
 
 def _labels(source: str) -> list[int]:
     """States of a labelled page's nodes: data-y of the element, or its parent's."""
-    page = Page(re.sub(r'data-y="([01])"', r'id="y\1"', source))
+    page = Page(re.sub(r'data-y="([01])"', r'role="y\1"', source))
     y: list[int] = []
     for i, mark in enumerate(page.marks):
         own = re.search(r"\by([01])\b", mark)
@@ -290,6 +309,9 @@ def labelled_pages(count: int = 240, seed: int = 5) -> list[str]:
                 else f"<blockquote><p>{said(1, 3)}</p></blockquote>" if x < 0.87 else f"<table><tr><td>{words(1, 3)}</td><td>{words(1, 3)}</td></tr></table>" if x < 0.91
                 else f"<pre>{words(3, 9)}</pre>" if x < 0.93 else f"<div>{said(1, 4)}</div>"
             )
+            if r.random() < 0.15:  # a short block that is mostly links, as in sources and references
+                block = r.choice(["div", "div", "p"])
+                parts.append(f"<{block}>{words(1, 4)} <a href='/{word()}'>{words(1, 4)}</a> {words(1, 2) if r.random() < 0.5 else ''}</{block}>")
             if r.random() < 0.12:
                 parts.append(advert())
         return "".join(parts)
@@ -352,7 +374,7 @@ def main_text(source: str | None, model: dict) -> str:
 
 def _extractor(model: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             texts = [main_text(h, model) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

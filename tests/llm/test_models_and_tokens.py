@@ -1,10 +1,12 @@
 """Packing, BPE, classifiers, page extraction, pipeline: round trips, held-out accuracy, edge cases."""
 
 import hashlib
+import html.parser
 import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers as P
 import pytest
@@ -86,11 +88,21 @@ def test_bpe(spark):
     for i, t in HARD:
         ids = enc.encode_ordinary(t or "")
         expected.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
-    got = bpe.encoded(frame(spark), MULTI, P.PATTERN).collect()
+    q = bpe.encoded(frame(spark), MULTI, P.PATTERN)
+    got = q.collect()
+    plan = q._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert "ReusedExchange" in plan and plan.count("MapInPandas") == 1  # texts are cut once
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
     assert bpe.encoded(frame(spark, []), MULTI, P.PATTERN).count() == 0
 
 
+def test_decoding_joins_the_token_table(spark):
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=tokens.ranks(MULTI), special_tokens={})
+    rows = [(i, enc.encode_ordinary(t or ""), 1) for i, t in HARD] + [(99, None, 1)]
+    got = bpe.decoded(spark.createDataFrame(rows, "doc_id long, ids array<int>, bytes int").repartition(3), MULTI).collect()
+    assert sorted((str(r.doc_id), bytes(r.bytes)) for r in got) == sorted((str(i), enc.decode_bytes(x or [])) for i, x, _ in rows)
+
+
 def test_cutter_loses_nothing():
     cutter = bpe.Cutter(P.PATTERN)
     assert all("".join(cutter.words(t)) == t for _, t in HARD if t)
@@ -274,9 +286,16 @@ PAGES = [
         ("<html><head><title>T</title><body><article><p>Hello there, this is text.</p></article>", "Hello there, this is text."),
         ("<head><title>T</title><meta charset=x><article><p>Hello there, this is text.</p></article>", "Hello there, this is text."),
         ("<html><head><title>T</title><style>p{}</style></head><body><article><p>Hello there.</p></article></body></html>", "Hello there."),
-        ("<article><p>One here.</p><svg class='i'/><p>Two here.</p><svg class='j'><text>no</text></svg><p>Three here.</p></article>", "One here. Two here. Three here."),
+        ("<article><p>One here.</p><svg class='i'/><p>Two here.</p><svg class='j'><text>drawn</text></svg><p>Three here.</p></article>", "One here. Two here. drawn Three here."),
         ("<article><p>One here.</p><svg viewBox='0'><p>Two here.</p></article>", "One here. Two here."),
         ("<article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> here.</p></article>", "Energy is E=m here."),
+        ("<article><p title=it's>One here.</p><p data-x=a\"b'c>Two here.</p></article>", "One here. Two here."),
+        ("<article><p>See if a <b and c</p><p>Two here, as well.</p></article>", "See if a Two here, as well."),
+        ("<article><p>One here.<object data='x'>No plugin, sorry.</object> <video><source src=x>No player.</video><canvas>Bars.</canvas></p></article>", "One here.No plugin, sorry. No player.Bars."),
+        ("<article><table><thead><tr><th>A one<th>B two<tbody><tr><td>One here.</div><td>Two here.<tfoot><tr><td>Three.</table><p>Four here.</article>", "A one B two One here. Two here. Three. Four here."),
+        ("<article><!--><p>One here.</p><!-- a --!><p>Two here.</p><script>1 < 2 </p></script ><p>Three here.</p></article>", "One here. Two here. Three here."),
+        ("<article><h2>One head<h3>Two head</h3><p>Text here, <a href='x>y'>linked</a>.</p><img alt='a > b' src=/x/></article>", "One head Two head Text here, linked."),
+        ("<article><p>1 < 2 and 3 > 2, <3 &lt;b&gt;</p></article>", "1 < 2 and 3 > 2, <3 <b>"),
         ("<article><p>One here.</p><button>no</button><select><p>Two here.</p></article>", "One here. Two here."),
     ],
 )
@@ -284,6 +303,54 @@ def test_pages_without_end_tags(source, expected):
     assert pages.main_text(source, pages.default_model()) == expected
 
 
+class Plain(html.parser.HTMLParser):
+    """The text of article elements by another parser, blocks apart."""
+
+    def __init__(self):
+        super().__init__()
+        self.depth, self.hidden, self.parts = 0, 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        self.hidden += tag in ("script", "style")
+        if tag not in pages.INLINE:
+            self.parts.append(" ")
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        self.hidden -= tag in ("script", "style")
+        if tag not in pages.INLINE:
+            self.parts.append(" ")
+
+    def handle_data(self, data):
+        if self.depth and not self.hidden:
+            self.parts.append(data)
+
+
+def test_pages_against_another_parser():
+    """Random articles with every kind of attribute and inline markup, by Python's own parser; and the pages of a table."""
+    r = random.Random(12)
+    word = lambda: r.choice(["alpha", "beta,", "gamma.", "R&amp;D", "caf&eacute;", "x&#39;s", "1 < 2", "a&nbsp;b", "end;"])
+    attrs = lambda: r.choice(["", " class=x", " title='it is > that'", ' data-a="<b>"', " hidden-not", " href=/a/b?c=d&e", " a=1  b = '2'", " id=it's"])
+    words = lambda n: " ".join(word() for _ in range(n))
+    inline = lambda: f"<{(t := r.choice(['b', 'i', 'a', 'em', 'code', 'math', 'span']))}{attrs()}>{words(2)}</{t}>"
+    for _ in range(200):
+        body = "".join(f"<{(t := r.choice(['p', 'p', 'div', 'h2', 'blockquote', 'li']))}{attrs()}>{words(r.randint(2, 12))}{inline()}{words(2)}{r.choice(['<br>', '<br/>', '', '<!-- c -->', '<script>if (1<2) x()</script>'])}</{t}>\n" for _ in range(r.randint(1, 9)))
+        source = f"<!DOCTYPE html><html><head><title>t</title></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav><article>{body}</article><footer>&copy; us</footer></body></html>"
+        plain = Plain()
+        plain.feed(source)
+        page = pages.Page(source)
+        inside = [False] * len(page.tags)
+        for i in range(1, len(page.tags)):
+            inside[i] = inside[page.parent[i]] or page.tags[i] == "article"
+        assert " ".join(text for i, text in page.runs if inside[i]) == " ".join("".join(plain.parts).split()) == pages.main_text(source, pages.default_model())
+    for (source,) in duckdb.sql(f"select html from read_parquet('{SF}/pages.parquet')").fetchall():
+        plain = Plain()
+        plain.feed(source)
+        plain.close()
+        assert pages.main_text(source, pages.default_model()) == " ".join("".join(plain.parts).split())
+
+
 def test_pages(spark):
     model = pages.default_model()
     df = spark.createDataFrame([(i, "u", h, "x") for i, h, _ in PAGES], "page_id long, url string, html string, text string")
@@ -333,6 +400,87 @@ def test_pipeline(spark):
             assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
 
 
+def plain_language(m, text):
+    """Language and score of one text, window by window and step by step."""
+    data = (text or "").encode()
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    total = np.zeros(len(m["langs"]))
+    for at in range(0, len(data), language.OWN):
+        lead = min(language.EDGE, at)
+        total += plain_labels(m, data[at - lead : at + language.OWN + language.EDGE])[lead : lead + language.OWN].sum(0)
+    e = np.exp((x := total / len(data) * min(language.EVIDENCE, max(1, len(data) / language.GRAIN))) - x.max())
+    return m["langs"][int(e.argmax())], float(e.max() / e.sum())
+
+
+def plain_groups(rows):
+    """The least id of each component of near-duplicates, by all pairs."""
+    words = lambda t: re.findall("[^\x20\x09-\x0d]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    sets = {i: {tuple(w[k : k + 4]) for k in range(len(w) - 3)} or ({tuple(w)} if w else set()) for i, w in ((i, words(t)) for i, t in rows)}
+    least = {i: i for i in sets}
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and sets[a] and sets[b] and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((root(a), root(b)))
+                least[y] = x
+    return {i: root(i) for i in sets}
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """The whole pipeline on a fixture of short documents, each stage by plain loops over the same models."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("n_chars < 1500")
+    docs.coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    model = quality.fit(docs, labels)
+    good = {i for i, t in texts.items() if plain_quality(model, t) >= 0.3}
+    known = docs.where(F.col("doc_id").isin(*good))
+    assert {r.doc_id for r in corpus_pipeline.quality_stage(spark, docs, str(tmp_path)).collect()} == good
+    model = language.fit(known)
+    told = {i for i in good if (x := plain_language(model, texts[i]))[0] != "und" and x[1] >= 0.3}
+    assert {r.doc_id for r in corpus_pipeline.language_stage(spark, known, str(tmp_path)).collect()} == told
+    groups = plain_groups([(i, texts[i]) for i in sorted(told)])
+    kept = {i for i, first in groups.items() if first == i}
+    assert len(kept) < len(told) < len(texts)
+    whole, expected = Tokenizer.from_file(BYTE_BPE), []
+    for i in kept:
+        x = whole.encode(texts[i] or "", add_special_tokens=False).ids + [1]
+        expected += [(i, at, len(x[at : at + 2048]), zlib.crc32(np.array(x[at : at + 2048], "<u4").tobytes()), len(x)) for at in range(0, len(x), 2048)]
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == sorted(expected)
+    places = {}
+    for r in got:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in places.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1].tolist()] and ends[-1] <= 2048
+    assert len(places) <= -(-sum(r.length for r in got) // 2048) + 2
+
+
+def test_very_long_texts(spark):
+    """A text of over a million bytes goes through every model whole."""
+    rows = [(1, "the quick brown fox jumps over it. " * 40_000), (2, "x" * 1_200_000), (3, "short")]
+    df = frame(spark, rows)
+    scored = {r.doc_id: r.score for r in quality.scored(df, None).collect()}
+    assert set(scored) == {1, 2, 3}
+    x, counts = quality.passages([t for _, t in rows])
+    assert counts.tolist() == [-(-len(t) // quality.PASSAGE) for _, t in rows] and np.isfinite(x).all()
+    m = {k: v.astype(np.float32) for k, v in random_network(np.random.default_rng(2), 2).items()} | {"langs": ["aa", "bb"]}
+    sums = language.position_sums(m, [t.encode() for _, t in rows[:1]])
+    again = language.position_sums(m, [rows[0][1][:70_000].encode()])
+    assert np.allclose(sums / len(rows[0][1]), again / 70_000, rtol=1e-3)
+    assert {r.doc_id for r in language.identified(df, m).collect()} == {1, 2, 3}
+
+
 def test_pipeline_takes_hard_rows_and_empty_tables(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     for rows in ([], [(i, t, "en" if i != 8 else None, None, None) for i, t in HARD]):

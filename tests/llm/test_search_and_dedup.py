@@ -110,6 +110,23 @@ def test_neardup(spark, monkeypatch, tile):
     assert sorted(map(tuple, got)) == brute(rows)
 
 
+def test_neardup_of_a_hot_row(spark):
+    """2,000 equal rows of one id, 1,500 near copies of one text, and texts that share half of their words with it."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    base = [word() for _ in range(120)]
+    rows = [(5, " ".join(base))] * 2000
+    for i in range(1500):
+        near = list(base)
+        near[r.randrange(120)] = word()
+        rows.append((100 + i, " ".join(near)))
+    rows += [(5000 + i, " ".join(base[:60] + [word() for _ in range(60)])) for i in range(200)]
+    got = neardup.linked_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(got) == len(rows) and sum(x.component_id == 5 for x in got) == 3500
+    assert all(x.component_id == x.doc_id and x.kept for x in got if x.doc_id >= 5000)
+    assert neardup.WIDTH == 4 and sum(x.kept for x in got if x.doc_id < 5000) == 2000
+
+
 def test_neardup_edges(spark):
     schema = "doc_id long, text string"
     assert neardup.linked_components(spark.createDataFrame([], schema)).count() == 0
