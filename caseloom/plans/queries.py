@@ -180,6 +180,7 @@ def _damaged(k: Column, read: str, damaged: str) -> Column:
 
 
 _one("norm_case_id", "'MIB-' || translate(lpad(CAST(o_orderkey AS VARCHAR), 6, '0'), '', '')", lambda k: F.concat(F.lit(" mib_"), F.translate(F.lpad(k.cast("string"), 6, "0"), "01", "OL")), normalize.case_id)
+_one("norm_case_candidate", "CASE WHEN o_orderkey % 3 <> 1 THEN 'MIB-' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') END", lambda k: F.concat(F.lit("mib "), F.translate(F.lpad((k % 1000000).cast("string"), 6, "0"), "01", "Oi"), F.when(k % 3 == 1, "X").otherwise("")), normalize.case_id_candidate)
 _one("norm_sponsor_id", "'SPN-' || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0')", lambda k: F.concat(F.lit("spn "), F.translate(F.lpad((k % 10000).cast("string"), 4, "0"), "01", "oi")), normalize.sponsor_id)
 _one("norm_visa_alias", "['XW-1', 'MED-3', 'TRANSIT-7', NULL][o_orderkey % 4 + 1]", lambda k: pick(k % 4, (_damaged(k, "x w1", "XWV-1"), _damaged(k, "MED-3", "MFD-3"), " transit7", "zzz")), "visa_class")
 _one("norm_fee_status", "['paid', 'unpaid', 'unknown', 'other'][o_orderkey % 4 + 1]", lambda k: pick(k % 4, (" PA1D ", "unpaid", "UNKN0WN", "0ther")), normalize.fee_status)
@@ -239,9 +240,12 @@ def _(s, sf):
     return resolve.resolved_exact(_normalized(s, sf))
 
 
-@query("corroborate_native_ocr")
+@query("corroborate_native_ocr", f"""WITH {OBSERVATIONS_SQL}, c AS (SELECT case_id, field, lower(normalized_value) AS folded, min(tier) AS tier, count(DISTINCT document_type) AS types, max(source) AS source, min(page_number * 1000 + seq) AS first, count(*) AS size, any_value(normalized_value) AS value FROM tiered GROUP BY 1, 2, 3),
+ r AS (SELECT *, lead(tier) OVER w AS next_tier, row_number() OVER w AS n FROM c WINDOW w AS (PARTITION BY case_id, field ORDER BY tier, types DESC, source DESC, first))
+SELECT case_id, field, CASE WHEN tier >= next_tier THEN NULL ELSE value END AS resolved_value, CASE WHEN tier >= next_tier THEN 'conflicting' WHEN next_tier IS NOT NULL THEN 'resolved_by_evidence_priority' WHEN types > 1 THEN 'corroborated' ELSE 'single_source' END AS status,
+ CASE WHEN tier >= next_tier THEN 'equal_priority_conflict' WHEN next_tier IS NOT NULL THEN 'evidence_priority' WHEN size = 1 THEN 'single_observation' ELSE 'exact_match' END AS resolution_method FROM r WHERE n = 1""")
 def _(s, sf):
-    """The fold with prefix matches, native preference and shape rescue; no SQL counterpart, see the tests."""
+    """The fold with prefix matches, native preference and shape rescue. These readings have no noise, so SQL can group them; the tests have the rest."""
     return resolve.resolved(_normalized(s, sf))
 
 
@@ -263,12 +267,52 @@ def _(s, sf):
     return c.groupBy("k", "c.document_type", "c.score").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("extract_labelled_fields", "SELECT o_orderkey, 'paid' AS fee_status, '1,200.50' AS amount, lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS digits FROM orders")
+@query("extract_labelled_fields", f"""SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN ['paid', 'waived', 'unpaid', 'unknown'][o_custkey % 4 + 1] END AS fee_status, CASE WHEN o_orderkey % 3 <> 0 THEN '1,' || lpad(CAST(o_custkey % 1000 AS VARCHAR), 3, '0') || '.50' END AS amount,
+ CASE WHEN o_orderkey % 2 = 0 THEN 'WVR-' || o_custkey ELSE 'N/A' END AS waiver_code, lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS digits FROM orders""")
 def _(s, sf):
-    k = F.lpad(F.col("o_orderkey").cast("string"), 6, "0")
-    text = F.concat(F.lit("MIB FEE RECEIPT Case ID: MIB-"), k, F.lit(" Fee Status: paid Amount: $1,200.50 Waiver Code: N/A"))
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    text = F.concat_ws(
+        " ", F.lit("MIB FEE RECEIPT"), F.when(o % 2 == 0, "Case 1D;").otherwise("Case ID"), F.concat(F.lit("MIB-"), F.lpad((o % 1000000).cast("string"), 6, "0")),
+        F.when(o % 5 != 0, F.concat(F.lit("Fee  Status: "), pick(c % 4, vocab.FEE_STATUSES))), F.when(o % 3 != 0, F.concat(F.lit("Amount - $ 1,"), F.lpad((c % 1000).cast("string"), 3, "0"), F.lit(".50"))),
+        F.lit("Waiver Code."), F.when(o % 2 == 0, F.concat(F.lit("WVR-"), c.cast("string"))).otherwise("N/A"),
+    )
     m = t(s, sf, "orders").select("o_orderkey", pages.field_map(text, "fee_receipt").alias("f"))
-    return m.select("o_orderkey", m.f["fee_status"].alias("fee_status"), m.f["amount"].alias("amount"), F.substr(m.f["case_id"], F.lit(5)).alias("digits"))
+    return m.select("o_orderkey", m.f["fee_status"].alias("fee_status"), m.f["amount"].alias("amount"), m.f["waiver_code"].alias("waiver_code"), F.substr(m.f["case_id"], F.lit(5)).alias("digits"))
+
+
+@query("intake_fields", f"""SELECT o_orderkey, 'Zed Quill ' || chr(CAST(65 + o_custkey % 26 AS INT)) AS applicant, CASE WHEN o_orderkey % 3 <> 0 THEN {list(vocab.SPECIES)}[o_custkey % {len(vocab.SPECIES)} + 1] END AS species_code, {list(vocab.HOME_WORLDS)}[o_custkey % {len(vocab.HOME_WORLDS)} + 1] AS home_world,
+ CASE WHEN o_orderkey % 5 <> 0 THEN {list(vocab.VISA_CLASSES)}[o_custkey % 5 + 1] END AS visa_class, 'SPN ' || o_custkey AS sponsor_id, '2026-0' || (o_custkey % 9 + 1) || '.07' AS arrival_date, {list(vocab.PURPOSES)}[o_custkey % {len(vocab.PURPOSES)} + 1] AS declared_purpose FROM orders""")
+def _(s, sf):
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    labelled_as = lambda good, bad: F.when(o % 2 == 0, good).otherwise(bad)
+    text = F.concat_ws(
+        " ", F.lit("Applicant: Zed Quill"), F.char(65 + c % 26), F.when(o % 3 != 0, F.concat(F.lit("Species Code: "), pick(c % len(vocab.SPECIES), vocab.SPECIES))), F.lit("Home World -"), pick(c % len(vocab.HOME_WORLDS), vocab.HOME_WORLDS),
+        F.when(o % 5 != 0, F.concat_ws(" ", labelled_as("Visa Class:", "Visa Close;"), pick(c % 5, vocab.VISA_CLASSES))), labelled_as("Sponsor ID: SPN", "Sponsor 1D = SPN"), c.cast("string"), F.concat(labelled_as("Arrival Date: 2026-0", "Amival Date 2026-0"), (c % 9 + 1).cast("string"), F.lit(".07")),
+        F.lit("Declared Purpose:"), pick(c % len(vocab.PURPOSES), vocab.PURPOSES), F.when(o % 4 == 0, "SAMPLE  DENIAL").otherwise("Packet MIB-000001 / page 1"),
+    )
+    m = t(s, sf, "orders").select("o_orderkey", pages.extracted(F.lit("intake_form"), text).alias("f"))
+    return m.select("o_orderkey", *[m.f[x].alias(x) for x in ("applicant", "species_code", "home_world", "visa_class", "sponsor_id", "arrival_date", "declared_purpose")])
+
+
+@query("slip_fields", f"""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'Zed Quill' END AS applicant, {list(vocab.SPECIES)}[o_custkey % {len(vocab.SPECIES)} + 1] AS species_match, (o_custkey % 100) || ' %' AS biometric_confidence, CASE WHEN o_orderkey % 3 <> 0 THEN {list(vocab.RISK_FLAGS)}[o_custkey % {len(vocab.RISK_FLAGS)} + 1] || '|none' END AS observed_flags FROM orders""")
+def _(s, sf):
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    text = F.concat_ws(
+        " ", F.lit("Biometric Scan Slip"), F.when(o % 2 == 0, "Applicant: Zed Quill |"), F.lit("Species Match:"), pick(c % len(vocab.SPECIES), vocab.SPECIES), F.lit("— Biometric confidence:"), (c % 100).cast("string"), F.lit("%"),
+        F.when(o % 3 != 0, F.concat(F.lit("Observed flags: "), pick(c % len(vocab.RISK_FLAGS), vocab.RISK_FLAGS), F.lit("|none"))), F.lit("SCAN IMAGE"),
+    )
+    m = t(s, sf, "orders").select("o_orderkey", pages.extracted(F.lit("biometric_slip"), text).alias("f"))
+    return m.select("o_orderkey", *[m.f[x].alias(x) for x in ("applicant", "species_match", "biometric_confidence", "observed_flags")])
+
+
+@query("attestation_fields", f"""SELECT o_orderkey, 'SPN-' || o_custkey AS sponsor_id, 'Zed Quill ' || chr(CAST(65 + o_custkey % 26 AS INT)) AS applicant, {list(vocab.PURPOSES)}[o_custkey % {len(vocab.PURPOSES)} + 1] AS purpose, {list(vocab.VISA_CLASSES)}[o_custkey % 5 + 1] AS visa_class FROM orders""")
+def _(s, sf):
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    name, purpose, visa, sponsor = F.concat(F.lit("Zed Quill "), F.char(65 + c % 26)), pick(c % len(vocab.PURPOSES), vocab.PURPOSES), pick(c % 5, vocab.VISA_CLASSES), F.concat(F.lit("SPN-"), c.cast("string"))
+    table = F.concat_ws(" ", F.lit("Sponsor Attestation Sponsor ID:"), sponsor, F.lit("Applicant:"), name, F.lit("Purpose:"), purpose, F.lit("Visa Class:"), visa, F.lit("Packet MIB-1 / page 4"))
+    letter = F.concat(F.lit("Sponsor "), sponsor, F.lit(" attests that "), name, F.lit(" is expected on Earth for "), purpose, F.lit(". We accept responsibility for class "), visa, F.lit(" compliance."))
+    m = t(s, sf, "orders").select("o_orderkey", pages.extracted(F.lit("sponsor_attestation"), F.when(o % 2 == 0, table).otherwise(letter)).alias("f"))
+    return m.select("o_orderkey", *[m.f[x].alias(x) for x in ("sponsor_id", "applicant", "purpose", "visa_class")])
 
 
 @query("extract_first_of", "SELECT o_orderkey, 'SPN-' || lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') AS sponsor_id, 'Zed Quill' AS applicant FROM orders")
@@ -278,11 +322,17 @@ def _(s, sf):
     return m.select("o_orderkey", m.f["sponsor_id"].alias("sponsor_id"), m.f["applicant"].alias("applicant"))
 
 
-@query("correction_notes", "SELECT o_orderkey, 'SPN-' || lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') AS sponsor_id, 'waived' AS fee_status FROM orders")
+@query("correction_notes", f"""SELECT o_orderkey, 'SPN-' || lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') AS sponsor_id, CASE WHEN o_orderkey % 3 = 0 THEN 'waived' ELSE {list(vocab.FEE_STATUSES)}[o_custkey % 4 + 1] END AS fee_status, CASE WHEN o_orderkey % 2 = 0 THEN {list(vocab.HOME_WORLDS)}[o_custkey % {len(vocab.HOME_WORLDS)} + 1] END AS home_world,
+ CASE WHEN o_orderkey % 5 <> 0 THEN {list(vocab.VISA_CLASSES)}[o_custkey % 5 + 1] END AS visa_class FROM orders""")
 def _(s, sf):
-    text = F.concat(F.lit("Manual correction: fee status is PAID.\nManual correction: sponsor is spn-"), F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"), F.lit(".\nManual correction: fee status is WAIVED."))
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    text = F.concat_ws(
+        "\n", F.concat(F.lit("Manual correction: fee status is "), F.upper(pick(c % 4, vocab.FEE_STATUSES)), F.lit(".")), F.concat(F.lit("manual  correction : the sponsor is spn-"), F.lpad((c % 10000).cast("string"), 4, "0"), F.lit(".")),
+        F.when(o % 3 == 0, "Manual correction: fee status is WAIVED, not paid"), F.when(o % 2 == 0, F.concat(F.lit("Manual correction: home world is  "), pick(c % len(vocab.HOME_WORLDS), vocab.HOME_WORLDS), F.when(o % 4 == 0, "; see file").otherwise(""))),
+        F.when(o % 5 == 0, "Manual correction: visa class is unclear").otherwise(F.concat(F.lit("Manual correction: visa class is "), F.lower(pick(c % 5, vocab.VISA_CLASSES)), F.lit(" | x"))),
+    )
     m = t(s, sf, "orders").select("o_orderkey", pages.corrections(text).alias("f"))
-    return m.select("o_orderkey", m.f["sponsor_id"].alias("sponsor_id"), m.f["fee_status"].alias("fee_status"))
+    return m.select("o_orderkey", *[m.f[x].alias(x) for x in ("sponsor_id", "fee_status", "home_world", "visa_class")])
 
 
 @query("suspicious_text", r"SELECT doc_id, regexp_matches(lower(text), '\btoken\s*=') AS a, regexp_matches(lower(text), '\bpassword\b') AS b FROM documents WHERE regexp_matches(lower(text), '\btoken\s*=') OR regexp_matches(lower(text), '\bpassword\b')")
@@ -317,10 +367,11 @@ def _(s, sf):
     return t(s, sf, "lineitem").select(r.alias("r")).groupBy("r.extraction_method", "r.ocr_strategy").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("missing_markers", "SELECT doc_id, '[FEE STATUS OBSCURED]' AS marker FROM documents WHERE doc_id % 5 = 0")
+@query("missing_markers", f"""WITH m AS (SELECT o_orderkey, {[f for f in vocab.MISSING_MARKERS]}[o_orderkey % {len(vocab.MISSING_MARKERS)} + 1] AS field, {[f for f in vocab.MISSING_MARKERS]}[o_custkey % {len(vocab.MISSING_MARKERS)} + 1] AS shown FROM orders) SELECT o_orderkey, CASE WHEN field = shown THEN {[m[-1] for m in vocab.MISSING_MARKERS.values()]}[o_orderkey % {len(vocab.MISSING_MARKERS)} + 1] END AS marker FROM m""")
 def _(s, sf):
-    text = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit(" [fee status obscured]"))).otherwise(F.col("text"))
-    return t(s, sf, "documents").select("doc_id", pages.missing_marker(F.lit("fee_status"), text).alias("marker")).where("marker IS NOT NULL")
+    fields, marks, n = tuple(vocab.MISSING_MARKERS), tuple(m[-1] for m in vocab.MISSING_MARKERS.values()), len(vocab.MISSING_MARKERS)
+    text = F.concat(F.lit("Some words, "), F.lower(pick(F.col("o_custkey") % n, marks)), F.lit(" and more"))
+    return t(s, sf, "orders").select("o_orderkey", pages.missing_marker(pick(F.col("o_orderkey") % n, fields), text).alias("marker"))
 
 
 @query("orphan_lines", r"SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda l: length(l) >= 3 AND NOT regexp_matches(l, '(?i)packet|page\s+\d|synthetic\s+hiring|mib\s+eyes\s+only|scan\s+image|passport\s+image|registry\s+image|form\s+[bi][-\s]?\d+') AND NOT contains(lower(l), 'the'))) AS n FROM documents")
@@ -349,17 +400,35 @@ def _(s, sf):
     return identity.pages_per_case(t(s, sf, "lineitem").select(F.col("l_suppkey").alias("packet"), F.col("l_partkey").alias("case_id"), F.col("l_linenumber").alias("page_number")))
 
 
+def _read_pages(s, sf) -> DataFrame:
+    """Line items as pages with four fields; returned ones do not tell their case."""
+    o = _normalized(s, sf)
+    return o.select("case_id", "page_number", "field", F.col("normalized_value").alias("value"), (F.col("text_source") == "ocr").alias("lost"))
+
+
+@query("link_pages_exactly", f"""WITH {OBSERVATIONS_SQL}, p AS (SELECT substr(case_id, 1, 8) AS packet, case_id, page_number, field, normalized_value AS v, text_source = 'ocr' AS lost FROM obs),
+a AS (SELECT packet, case_id || '-' || page_number AS page, field, list_distinct(list(v)) AS vs FROM p WHERE lost GROUP BY ALL), b AS (SELECT packet, case_id, field, list_distinct(list(v)) AS vs FROM p WHERE NOT lost GROUP BY ALL),
+m AS (SELECT a.packet, page, case_id, a.field, list_has_any(a.vs, b.vs) AS same FROM a JOIN b USING (packet, field)),
+w AS (SELECT packet, page, case_id, CAST(sum(CASE WHEN same THEN CASE field WHEN 'sponsor_id' THEN 6 WHEN 'arrival_date' THEN 3 WHEN 'visa_class' THEN 2 ELSE 0 END ELSE -CASE field WHEN 'sponsor_id' THEN 7 WHEN 'arrival_date' THEN 3 WHEN 'visa_class' THEN 2 ELSE 0 END END) AS BIGINT) AS score,
+ count(*) FILTER (same) AS matched, coalesce(string_agg(CASE WHEN NOT same THEN field END, ',' ORDER BY field), '') AS conflicts FROM m GROUP BY ALL),
+r AS (SELECT *, row_number() OVER o AS n, coalesce(lead(score) OVER o, 0) AS second FROM w WINDOW o AS (PARTITION BY packet, page ORDER BY score DESC, case_id))
+SELECT packet, page AS page_number, case_id, score, matched, conflicts, second, matched >= 2 AND score >= 7 AND score - second >= 3 AND NOT contains(',' || conflicts || ',', ',sponsor_id,') AS safe FROM r WHERE n = 1""")
+def _(s, sf):
+    o = _read_pages(s, sf).withColumn("packet", F.substring("case_id", 1, 8))
+    return identity.link_scores(o.where("lost").select("packet", F.concat_ws("-", "case_id", "page_number").alias("page_number"), "field", "value"), o.where("NOT lost").select("packet", "case_id", "field", "value"))
+
+
 @query("link_pages_to_cases")
 def _(s, sf):
-    """Pages of unknown case (every fifth line), their names with noise, against the cases of their packet; the scores are tested on a fixture."""
-    o = _normalized(s, sf).select("case_id", "page_number", "field", F.col("normalized_value").alias("value"))
+    """Pages of unknown case (returned lines), their names with noise, against the cases of their packet; the scores are tested on a fixture."""
+    lost = F.col("l_returnflag") == "R"
     k, n = F.col("l_orderkey"), F.col("l_linenumber")
     name = F.concat_ws(" ", pick(k % 7, ("Oririx", "Zed", "Mo", "Ann", "Zevese", "Orikesh", "Tal")), pick(k % 11, ("Orivoss", "Quill", "Brask", "Bell", "Qorul", "Antari", "Venn", "Ul", "Dor", "Parque", "Stion")))
     noisy = F.when(n % 2 == 1, F.concat(F.translate(name, "e", "c"), F.lit(' Spr~- "te.'))).otherwise(F.translate(name, "i", "l"))
-    names = t(s, sf, "lineitem").select(_case("l_orderkey").alias("case_id"), n.alias("page_number"), F.lit("applicant_name").alias("field"), F.when(n % 5 == 0, noisy).otherwise(name).alias("value"))
-    o = o.unionByName(names).withColumn("packet", F.substring("case_id", 1, 8))
-    known = o.where("page_number % 5 <> 0").select("packet", "case_id", "field", "value")
-    return identity.link_scores(o.where("page_number % 5 = 0").select("packet", F.concat_ws("-", "case_id", "page_number").alias("page_number"), "field", "value"), known)
+    names = t(s, sf, "lineitem").select(_case("l_orderkey").alias("case_id"), n.alias("page_number"), F.lit("applicant_name").alias("field"), F.when(lost, noisy).otherwise(name).alias("value"), lost.alias("lost"))
+    o = _read_pages(s, sf).unionByName(names).withColumn("packet", F.substring("case_id", 1, 8))
+    known = o.where("NOT lost").select("packet", "case_id", "field", "value")
+    return identity.link_scores(o.where("lost").select("packet", F.concat_ws("-", "case_id", "page_number").alias("page_number"), "field", "value"), known)
 
 
 @query("vocab_best_match")
