@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
 kept; all but the last return rows of documents, whole and unchanged, whatever
-their columns. An empty input passes through every stage as no rows.
+their columns. An empty input passes through every stage as no rows; a very long
+text is read whole by every stage, in one task each, with memory for its bytes.
 """
 
 from __future__ import annotations
