@@ -161,13 +161,16 @@ def _open(field: Column, raw: Column) -> Column:
 def normalized(df: DataFrame, field: str = "field", raw: str = "raw_value", out: str = "normalized_value") -> DataFrame:
     """The frame with its normalized values, by the exact rules or else by the best match.
 
-    Values that nothing matches are not in the table of matches, so the join
-    finds no row for them.
+    The rules that ask for a match run on distinct readings, and the matching on the
+    distinct forms that these leave. Values that nothing matches are not in the table
+    of matches, so the join finds no row for them.
     """
-    left = df.withColumn("_left", _open(F.col(field), F.col(raw)))
-    near = left.where(F.col("_left").isNotNull()).select(F.col(field).alias("_field"), F.col("_left").alias("_value")).distinct()
-    near = checkpointed(near.withColumn("_match", _matched("_field", "_value")).where(F.col("_match").isNotNull()))
+    # Written down, or the optimizer would move the rules back to all rows.
+    seen = checkpointed(df.select(F.col(field).alias("_field"), F.col(raw).alias("_raw")).distinct())
+    seen = seen.withColumn("_left", _open(F.col("_field"), F.col("_raw"))).where("_left IS NOT NULL")
+    found = seen.select("_field", "_left").distinct().withColumn("_match", _matched("_field", "_left")).where("_match IS NOT NULL")
+    near = checkpointed(seen.join(found, ["_field", "_left"]).select("_field", "_raw", "_match"))
     few = near.count() <= FEW
-    joined = left.join(near.hint("broadcast") if few else near, (left[field] == near["_field"]) & (left["_left"] == near["_value"]), "left")
+    joined = df.join(near.hint("broadcast") if few else near, (df[field] == near["_field"]) & (df[raw] == near["_raw"]), "left")
     value = F.when((F.col(field) == "applicant_name") & F.col("_match").isNotNull(), None).otherwise(F.coalesce("_match", by_field(F.col(field), F.col(raw))))
     return joined.withColumn(out, value).select(*df.columns, out)
