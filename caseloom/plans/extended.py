@@ -316,6 +316,14 @@ def _(s, sf):
     return p.select("p_partkey", *[images.measured(F.col(c), _place_sum, "bigint").alias(name) for name, c in sums.items()])
 
 
+@query("image_otsu", f"""WITH {_PICTURES_SQL}, h AS (SELECT p_partkey, v AS level, count(*) AS n FROM px GROUP BY 1, 2), c AS (SELECT p_partkey, level, sum(n) OVER w AS below, sum(n * level) OVER w AS weight, sum(n) OVER (PARTITION BY p_partkey) AS total, sum(n * level) OVER (PARTITION BY p_partkey) AS whole FROM h WINDOW w AS (PARTITION BY p_partkey ORDER BY level)),
+s AS (SELECT p_partkey, level, below * (total - below) * (weight::DOUBLE / below - (whole - weight)::DOUBLE / (total - below)) * (weight::DOUBLE / below - (whole - weight)::DOUBLE / (total - below)) AS spread FROM c WHERE below < total),
+b AS (SELECT p_partkey, level FROM s QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY spread DESC, level) = 1) SELECT p_partkey, CAST(any_value(level) AS INT) AS otsu, CAST(sum(CASE WHEN v > level THEN 255 * (y * 16 + x + 1) ELSE 0 END) AS BIGINT) AS black_white FROM px JOIN b USING (p_partkey) GROUP BY 1""")
+def _(s, sf):
+    i = F.col("image")
+    return _pictures(s, sf).select("p_partkey", images.measured(i, raster.otsu, "int").alias("otsu"), images.measured(images.changed(i, raster.thresholded, "otsu"), _place_sum, "bigint").alias("black_white"))
+
+
 @query("image_thresholds")
 def _(s, sf):
     """Levels of black and white of the pictures; filters around each pixel are tested against plain loops."""
@@ -397,12 +405,15 @@ def _(s, sf):
     return p.select("user_id", F.size(got).cast("bigint").alias("n"), F.round(F.aggregate(got, F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
-@query("segment_bands")
+@query("segment_bands", """WITH RECURSIVE e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS y, CASE WHEN event_id % 5 <> 0 THEN CAST(value / 10 AS DOUBLE) END AS v, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+r AS (SELECT user_id, CAST(-1 AS BIGINT) AS y, CAST(0 AS BIGINT) AS start, CAST([] AS DOUBLE[]) AS held, any_value(n) AS n, CAST(NULL AS BIGINT) AS top, CAST(NULL AS BIGINT) AS bottom, CAST(NULL AS DOUBLE) AS off FROM e GROUP BY user_id
+ UNION ALL SELECT user_id, y, CASE WHEN v IS NULL OR (len(held) > 0 AND NOT jump) THEN start ELSE y END, CASE WHEN v IS NULL THEN held WHEN jump THEN [v] ELSE list_append(held, v) END, n, CASE WHEN jump AND y - start >= 10 THEN start END, CASE WHEN jump AND y - start >= 10 THEN y END, CASE WHEN jump AND y - start >= 10 THEN list_median(held) END
+ FROM (SELECT r.user_id, e.y, e.v, r.n, r.start, r.held, coalesce(e.v IS NOT NULL AND len(r.held) > 0 AND abs(e.v - list_median(r.held)) > 12, false) AS jump FROM r JOIN e ON e.user_id = r.user_id AND e.y = r.y + 1))
+SELECT user_id, top, bottom, round(off, 6) AS off FROM r WHERE top IS NOT NULL UNION ALL SELECT user_id, start, n, round(list_median(held), 6) FROM r WHERE y = n - 1 AND len(held) > 0 AND n - start >= 10""")
 def _(s, sf):
-    """Bands of each user's values; the running median of a run is no window frame, see the tests."""
     w = W.partitionBy("user_id").orderBy("event_id")
-    e = t(s, sf, "events").select("user_id", (F.row_number().over(w) - 1).alias("y"), F.when(F.col("event_id") % 5 != 0, F.col("value") / 10).alias("v"))
-    return series.bands(e, ["user_id"], "y", "v")
+    e = t(s, sf, "events").select("user_id", (F.row_number().over(w) - 1).alias("y"), F.when(F.col("event_id") % 5 != 0, (F.col("value") / 10).cast("double")).alias("v"))
+    return series.bands(e, ["user_id"], "y", "v").select("user_id", "top", "bottom", F.round("off", 6).alias("off"))
 
 
 # Sources and sinks -----------------------------------------------------------------------------

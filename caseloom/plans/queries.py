@@ -594,11 +594,17 @@ def _(s, sf):
     return scores.groupBy("case_id").agg(F.sum("points").alias("points"), F.sum("max_points").alias("most"))
 
 
-@query("evaluation_document")
+@query("evaluation_document", f"""WITH {SCORED_SQL}, p AS (SELECT *, CASE WHEN pred IS NULL THEN 0 WHEN truth = pred THEN 8 WHEN truth = 'DENIED' AND pred = 'APPROVED' THEN -4 WHEN pred = 'NEEDS_REVIEW' THEN 2 WHEN truth = 'NEEDS_REVIEW' THEN 1 ELSE 0 END AS pts FROM scored),
+s AS (SELECT count(*) AS cases, CAST(sum(pts) AS BIGINT) AS raw_points, count(*) FILTER (pred IS NULL) AS missing, 80 * (CAST(sum(pts) AS DOUBLE) / (count(*) * 8)) AS class_score, least(10.0::DOUBLE, 10 * (count(*) FILTER (pred IS NULL)::DOUBLE / count(*))) AS missing_penalty,
+ 20 * greatest(0.0::DOUBLE, 1 - 2 * (sum((doc_id % 100 - CASE WHEN truth = pred THEN 100 ELSE 0 END) * (doc_id % 100 - CASE WHEN truth = pred THEN 100 ELSE 0 END)) FILTER (pred IS NOT NULL)::DOUBLE / count(pred) / 10000)) AS calibration FROM p),
+c AS (SELECT truth, coalesce(pred, 'MISSING') AS pred, count(*) AS n FROM scored GROUP BY 1, 2), d AS (SELECT string_agg(truth || '/' || pred || '=' || n, ',' ORDER BY truth, pred) AS confusion FROM c)
+SELECT cases, raw_points, missing, round(class_score, 6) AS class_score, round(missing_penalty, 6) AS missing_penalty, round(calibration, 6) AS calibration, round(class_score + calibration - missing_penalty, 6) AS total_score, confusion FROM s, d""")
 def _(s, sf):
-    """One nested row; its parts have SQL of their own above."""
+    """The nested document of an evaluation, its parts side by side."""
     x = scored(s, sf)
-    return evaluate.result_document(evaluate.confusion(x), evaluate.sections(x), evaluate.brier(x))
+    d = evaluate.result_document(evaluate.confusion(x), evaluate.sections(x), evaluate.brier(x))
+    counts = F.array_join(F.transform("confusion", lambda c: F.concat_ws("", c["truth"], F.lit("/"), c["pred"], F.lit("="), c["n"].cast("string"))), ",")
+    return d.select("cases", "raw_points", "missing", *[F.round(c, 6).alias(c) for c in ("class_score", "missing_penalty", "calibration", "total_score")], counts.alias("confusion"))
 
 
 @query("page_quality_histogram", "SELECT CASE WHEN l_quantity >= 15 AND l_returnflag <> 'R' THEN 'digital_clean' WHEN l_returnflag = 'R' AND l_linenumber > 2 THEN 'scan_readable' WHEN l_returnflag = 'R' THEN 'scan_degraded' ELSE 'insufficient_evidence' END AS quality_class, count(*) AS n FROM lineitem GROUP BY 1")
@@ -607,14 +613,17 @@ def _(s, sf):
     return t(s, sf, "lineitem").groupBy(q.alias("quality_class")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("fuzzy_labels")
+@query("fuzzy_labels", f"""SELECT p_partkey, 'MIB-' || lpad(CAST(p_partkey % 1000000 AS VARCHAR), 6, '0') AS case_id, {list(vocab.HOME_WORLDS)}[p_partkey % {len(vocab.HOME_WORLDS)} + 1] AS home_world, {list(vocab.FEE_STATUSES)}[p_partkey % 4 + 1] AS fee_status, {list(vocab.SPECIES)}[p_partkey % {len(vocab.SPECIES)} + 1] AS species_code, {list(vocab.VISA_CLASSES)}[p_size % 5 + 1] AS visa_class FROM part""")
 def _(s, sf):
-    """Fields behind damaged labels, per distinct page text; matching blocks have no SQL counterpart."""
+    """Fields behind damaged labels, in texts whose values are known."""
     k = F.col("p_partkey")
-    text = F.concat(F.lit("Case ID: MIB-"), F.lpad((k % 1000000).cast("string"), 6, "0"), pick(k % 3, (" Home Workt: ", " Hcme World ", " Home World: ")), pick(k % 13, vocab.HOME_WORLDS), pick(k % 2, (" Foe Status: ", " Fee Statvs ")), pick(k % 4, vocab.FEE_STATUSES), F.lit(" Speeies Code ORION GRAYS Visa Clas: "), pick(F.col("p_size") % 5, vocab.VISA_CLASSES))
-    d = t(s, sf, "part").select(text.alias("text")).distinct()
-    m = labelled.completed(d.select("text", F.lit("unknown").alias("document_type"), F.create_map().cast("map<string,string>").alias("f")), found="f")
-    return m.select("text", m.f["home_world"].alias("home_world"), m.f["fee_status"].alias("fee_status"), m.f["visa_class"].alias("visa_class"))
+    text = F.concat(
+        pick(k % 2, ("Case ID: MIB-", "Cese ID MIB-")), F.lpad((k % 1000000).cast("string"), 6, "0"), pick(k % 3, (" Home Workt: ", " Hcme World ", " Home World: ")), pick(k % 13, vocab.HOME_WORLDS), pick(k % 2, (" Foe Status: ", " Fee Statvs ")), pick(k % 4, vocab.FEE_STATUSES),
+        F.lit(" Speeies Code "), F.replace(pick(k % len(vocab.SPECIES), vocab.SPECIES), F.lit("_"), F.lit(" ")), F.lit(" Visa Clas: "), pick(F.col("p_size") % 5, vocab.VISA_CLASSES),
+    )
+    d = t(s, sf, "part").select("p_partkey", text.alias("text"), F.lit("unknown").alias("document_type"), F.create_map().cast("map<string,string>").alias("f"))
+    m = labelled.completed(d, found="f")
+    return m.select("p_partkey", *[m.f[x].alias(x) for x in ("case_id", "home_world", "fee_status", "species_code", "visa_class")])
 
 
 @query("near_established_ids")
