@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,32 @@ def best(value: str | None, vocabulary: tuple[str, ...], least: float, margin: f
     return scores[0][1]
 
 
+def _counts(texts: list[str]) -> np.ndarray:
+    """Per text how many characters fall in each of 64 bins."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) & 63
+    row = np.repeat(np.arange(len(texts)), sizes)
+    return np.bincount(row * 64 + codes, minlength=64 * len(texts)).reshape(-1, 64)
+
+
+def best_many(values: list[str | None], vocabulary: tuple[str, ...], least: float, margin: float, fold=None) -> list[str | None]:
+    """``best`` of many values: equal ones once, and only those that share enough characters with some entry to come near it."""
+    fold = fold or (lambda x: x)
+    own = {v: fold(v) for v in set(values) if v is not None}
+    names, terms = list(own), [fold(c) for c in vocabulary]
+    found: dict[str, str | None] = dict.fromkeys(names)
+    if names and terms:
+        a, b = _counts([own[v] for v in names]), _counts(terms)
+        size_a, size_b = a.sum(1), b.sum(1)
+        near = np.zeros(len(names), bool)
+        for term, size in zip(b, size_b, strict=True):
+            both = size_a + size
+            near |= 2 * np.minimum(a, term).sum(1) >= (least - 1e-9) * np.maximum(both, 1)
+        for i in np.flatnonzero(near):
+            found[names[i]] = best(names[i], vocabulary, least, margin, fold)
+    return [None if v is None else found[v] for v in values]
+
+
 def compare_text(value: str) -> str:
     """Casefolded, separators as spaces, nothing but a-z, 0-9 and spaces."""
     import re
@@ -84,7 +111,7 @@ def with_best_match(df: DataFrame, column: str, vocabulary: tuple[str, ...], lea
 
     @F.pandas_udf("string")
     def match(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: best(x, vocabulary, least, margin, compare_text))
+        return pd.Series(best_many(s.tolist(), vocabulary, least, margin, compare_text), dtype="object")
 
     near = df.where(F.col(column).isNotNull() & ~F.col(column).isin(*vocabulary)).select(F.col(column).alias("_value")).distinct().withColumn("_match", match("_value"))
     joined = df.join(near, df[column] == near["_value"], "left")

@@ -8,6 +8,8 @@ and the next label; values of a closed vocabulary are matched once per distinct
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.types import StringType
 
 from ..functions import vocab
-from ..functions.similarity import best, compare_text, ratio
+from ..functions.similarity import best_many, compare_text, ratio
 from ..functions.stored import checkpointed
 from ..functions.text import given, literal_map, stripped
 from .pages import PATTERNS
@@ -66,7 +68,10 @@ def wanted(kind: Column, found: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def _label(fragments: pd.Series, terms: pd.Series) -> pd.Series:
-    return pd.Series([best(f, tuple(t), LABEL_SCORE, LABEL_MARGIN, compare_text) for f, t in zip(fragments, terms, strict=True)], dtype="object")
+    out = pd.Series([None] * len(fragments), dtype="object")
+    for of, rows in fragments.groupby(terms.map(tuple)).groups.items():
+        out.loc[rows] = best_many(fragments.loc[rows].tolist(), of, LABEL_SCORE, LABEL_MARGIN, compare_text)
+    return out
 
 
 def _fragments(pages: DataFrame) -> DataFrame:
@@ -98,24 +103,25 @@ def _hits(pages: DataFrame) -> DataFrame:
     return lists.select(_KEY, F.posexplode(kept).alias("n", "h")).select(_KEY, "n", "h.*")
 
 
-def _term(window: str, terms: tuple[str, ...]) -> str | None:
-    """The term that a run of a window's words reads most like; the first of equals."""
-    import re
-
-    words, top = re.findall(r"[A-Za-z0-9][A-Za-z0-9_/-]*", window), (0.0, None)
-    for i in range(len(words)):
-        for n in range(1, min(VALUE_WORDS, len(words) - i) + 1):
-            piece = " ".join(words[i : i + n])
-            match = best(piece, terms, 0.72, 0.08, compare_text)
-            score = ratio(compare_text(piece), compare_text(match)) if match else 0.0
-            if score > top[0]:
-                top = (score, match)
-    return top[1]
+def _terms(windows: list[str], vocabulary: tuple[str, ...]) -> list[str | None]:
+    """Per window the term that a run of its words reads most like; the first of equals. Each distinct run is matched once."""
+    pieces = []
+    for window in windows:
+        words = re.findall(r"[A-Za-z0-9][A-Za-z0-9_/-]*", window)
+        pieces.append([" ".join(words[i : i + n]) for i in range(len(words)) for n in range(1, min(VALUE_WORDS, len(words) - i) + 1)])
+    known = list({p for run in pieces for p in run})
+    matches = best_many(known, vocabulary, 0.72, 0.08, compare_text)
+    scored = {p: (ratio(compare_text(p), compare_text(m)), m) for p, m in zip(known, matches, strict=True) if m}
+    found = [[scored[p] for p in run if p in scored] for run in pieces]
+    return [max(f, key=lambda x: x[0])[1] if f else None for f in found]
 
 
 @F.pandas_udf(StringType())
 def _vocabulary_value(fields: pd.Series, windows: pd.Series) -> pd.Series:
-    return pd.Series([_term(w, VOCABULARIES[f]) for f, w in zip(fields, windows, strict=True)], dtype="object")
+    out = pd.Series([None] * len(fields), dtype="object")
+    for field, rows in windows.groupby(fields).groups.items():
+        out.loc[rows] = _terms(windows.loc[rows].tolist(), VOCABULARIES[field])
+    return out
 
 
 def _free(window: Column) -> Column:

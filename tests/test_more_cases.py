@@ -135,6 +135,15 @@ def test_pruned_best_match_is_exact():
             assert similarity.best(value, terms, least, margin) == want
 
 
+def test_many_matches_are_single_matches():
+    terms = tuple(labelled.ANY_LABELS)
+    values = ["Hcme World", "Foe Status", "zz", None, "", "MIB-000123 Applicant", "Foe Status", "éé World", "Case 1D", "Declared Purpcse: x", "𝔸mount"]
+    assert similarity.best_many(values, terms, 0.78, 0.10, similarity.compare_text) == [similarity.best(v, terms, 0.78, 0.10, similarity.compare_text) for v in values]
+    assert similarity.best_many([], terms, 0.78, 0.10) == [] and similarity.best_many(["a"], (), 0.78, 0.10) == [None]
+    words = ["".join(w) for w in __import__("itertools").product("abc", repeat=4)]
+    assert similarity.best_many(words, ("abca", "cabb", "aaaa", "bcbc"), 0.5, 0.05) == [similarity.best(w, ("abca", "cabb", "aaaa", "bcbc"), 0.5, 0.05) for w in words]
+
+
 def test_regions(spark):
     region = "region struct<x1:double,y1:double,x2:double,y2:double>"
     df = spark.createDataFrame([((0.0, 0.1, 0.5, 1.0),)], region)
