@@ -578,8 +578,9 @@ def _(s, sf):
     native = F.lit("native_text")
     # A name that was read off an image is no evidence of a conflict, but confirms.
     names = F.array(one("intake_form", pick(k % n, _NAMES), F.when(c % 3 == 0, "ocr").otherwise(native)), one("sponsor_attestation", pick(c % n, _NAMES), native), one("registry_extract", pick((k + c) % n, _NAMES), F.lit("ocr")))
-    o = t(s, sf, "orders").select(_case("o_orderkey").alias("case_id"), F.lit("applicant_name").alias("field"), F.inline(names))
-    return predict.name_outliers(o)
+    # Told apart by the order's key: a written id has room for six digits.
+    o = t(s, sf, "orders").select(F.col("o_orderkey").alias("case_id"), F.lit("applicant_name").alias("field"), F.inline(names))
+    return predict.name_outliers(o).withColumn("case_id", _case("case_id"))
 
 
 @query("score_fields", """WITH s AS (SELECT c_custkey, c_custkey % 3 <> 0 AS visa, c_custkey % 5 <> 0 AS fee, c_custkey % 7 <> 0 AS present, c_custkey % 4 = 0 AS lost FROM customer)

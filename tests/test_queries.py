@@ -65,7 +65,7 @@ def long_keys(spark, tmp_path_factory):
     return str(sf), con
 
 
-@pytest.mark.parametrize("name", ["error_rows", "flag_combinations", "flag_rows"])
+@pytest.mark.parametrize("name", ["error_rows", "flag_combinations", "flag_rows", "name_outlier_flags"])
 def test_long_keys_stay_apart(spark, long_keys, name):
     sf, con = long_keys
     df, found = QUERIES[name](spark, sf), con.execute(SQL[name])
