@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType
+from pyspark.sql.types import DoubleType, StringType
 
 
 def ratio(a: str, b: str) -> float:
@@ -96,9 +96,27 @@ def alike(case_value: str, page_value: str) -> bool:
     return m.ratio() >= SAME or sum(x.size for x in m.get_matching_blocks()) / len(a) >= COVERED
 
 
-@F.pandas_udf(BooleanType())
-def alike_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([x is not None and y is not None and alike(x, y) for x, y in zip(a, b, strict=True)], dtype="bool")
+#: Pairs of names that a worker remembers.
+REMEMBERED = 1_000_000
+_alike: dict[str, dict[str, bool]] = {}
+_remembered = 0
+
+
+def alike_among(case_values: list[str], page_value: str) -> list[bool]:
+    """``alike`` of each case value and the page's: of pairs not seen before, only those that share enough characters are compared."""
+    global _remembered
+    if _remembered > REMEMBERED:
+        _alike.clear()
+        _remembered = 0
+    known = _alike.setdefault(page_value, {})
+    new = [c for c in case_values if c not in known]
+    if new:
+        own, counts = _counts([page_value.casefold().strip()])[0], _counts([c.casefold().strip() for c in new])
+        common, size = np.minimum(counts, own).sum(1), counts.sum(1)
+        near = (2 * common >= (SAME - 1e-9) * (size + own.sum())) | (common >= (COVERED - 1e-9) * size)
+        known |= {c: bool(n) and alike(c, page_value) for c, n in zip(new, near, strict=True)}
+        _remembered += len(new)
+    return [known[c] for c in case_values]
 
 
 @F.pandas_udf(StringType())

@@ -181,3 +181,32 @@ def test_near_ids_by_all_pairs(spark):
             expected.add((packet, one, scores[0][1]))
     df = spark.createDataFrame(rows, "packet string, case_id string")
     assert {tuple(x) for x in identity.near_established(df).collect()} == expected and len(expected) > 40
+
+
+def test_links_against_brute_force_without_written_pairs(spark, monkeypatch):
+    import random
+
+    from caseloom.functions import vocab
+    from caseloom.functions.similarity import alike
+
+    rng = random.Random(7)
+    fields = {"applicant_name": ["Zed Quill", "Zcd Quill", "Orikesh Antari", ""], "sponsor_id": ["a", "b", "c"], "visa_class": ["x", "y", None], "fee_status": ["paid", "waived"], "other": ["1", "2"]}
+    made = lambda owners: [(p, o, f, rng.choice(v)) for p in ("p", "q", "r") for o in owners for f, v in fields.items() for _ in range(rng.randint(0, 2))]
+    page, case = made([str(i) for i in range(9)]), [x for x in made([f"c{i}" for i in range(7)]) if x[0] != "r"] + [("s", "c0", "visa_class", "x")]
+    expected = {}
+    for p, o in sorted({(x[0], x[1]) for x in page}):
+        ranked = []
+        for c in sorted({x[1] for x in case if x[0] == p}):
+            here = {f: ([x[3] for x in page if x[:3] == (p, o, f)], [x[3] for x in case if x[:3] == (p, c, f)]) for f in fields}
+            same = {f: any(x is not None and (x == y or f == "applicant_name" and alike(y, x)) for x in a for y in b if y is not None) for f, (a, b) in here.items() if a and b}
+            if same:
+                score = sum(vocab.LINK_WEIGHTS.get(f, 0) if s else -vocab.LINK_PENALTIES.get(f, 0) for f, s in same.items())
+                ranked.append((-score, c, sum(same.values()), ",".join(sorted(f for f, s in same.items() if not s))))
+        ranked.sort()
+        if ranked:
+            score, c, matched, conflicts = ranked[0]
+            expected[p, o] = (c, -score, matched, conflicts, -ranked[1][0] if len(ranked) > 1 else 0)
+    schema = "packet string, {} string, field string, value string"
+    got = identity.link_scores(spark.createDataFrame(page, schema.format("page_number")), spark.createDataFrame(case, schema.format("case_id")))
+    assert {(r.packet, r.page_number): (r.case_id, r.score, r.matched, r.conflicts, r.second) for r in got.collect()} == expected
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()  # pairs of pages and cases are no rows
