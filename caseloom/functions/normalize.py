@@ -163,14 +163,20 @@ def normalized(df: DataFrame, field: str = "field", raw: str = "raw_value", out:
 
     The rules that ask for a match run on distinct readings, and the matching on the
     distinct forms that these leave. Values that nothing matches are not in the table
-    of matches, so the join finds no row for them.
+    of matches, so the join finds no row for them. Where the distinct readings are few,
+    the exact rules run on them alone as well, and all rows look their value up.
     """
     # Written down, or the optimizer would move the rules back to all rows.
-    seen = checkpointed(df.select(F.col(field).alias("_field"), F.col(raw).alias("_raw")).distinct())
-    seen = seen.withColumn("_left", _open(F.col("_field"), F.col("_raw"))).where("_left IS NOT NULL")
+    readings = checkpointed(df.select(F.col(field).alias("_field"), F.col(raw).alias("_raw")).distinct())
+    seen = readings.withColumn("_left", _open(F.col("_field"), F.col("_raw"))).where("_left IS NOT NULL")
     found = seen.select("_field", "_left").distinct().withColumn("_match", _matched("_field", "_left")).where("_match IS NOT NULL")
     near = checkpointed(seen.join(found, ["_field", "_left"]).select("_field", "_raw", "_match"))
     few = near.count() <= FEW
+    of = F.col("_field"), F.col("_raw")
+    if few and readings.count() <= FEW:
+        value = F.when((of[0] == "applicant_name") & F.col("_match").isNotNull(), None).otherwise(F.coalesce("_match", by_field(*of)))
+        found = checkpointed(readings.join(near.hint("broadcast"), ["_field", "_raw"], "left").select("_field", "_raw", value.alias(out)))
+        return df.join(found.hint("broadcast"), df[field].eqNullSafe(found["_field"]) & (df[raw] == found["_raw"]), "left").select(*df.columns, out)
     joined = df.join(near.hint("broadcast") if few else near, (df[field] == near["_field"]) & (df[raw] == near["_raw"]), "left")
     value = F.when((F.col(field) == "applicant_name") & F.col("_match").isNotNull(), None).otherwise(F.coalesce("_match", by_field(F.col(field), F.col(raw))))
     return joined.withColumn(out, value).select(*df.columns, out)
