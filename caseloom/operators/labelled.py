@@ -1,9 +1,9 @@
 """Fields behind damaged labels.
 
-A page becomes rows of words; runs of one and two words are fragments. Each distinct
-fragment is compared once with the labels of its page's type, and the few that read
-like a label come back to their pages by a join. A label's value stands between it
-and the next label; values of a closed vocabulary are matched once per distinct window.
+Runs of one and two words of a page are fragments. Each distinct fragment of a batch
+of pages is compared once with the labels of its page's type. A label's value stands
+between it and the next label; values of a closed vocabulary are matched once per
+distinct window. Pages stay rows throughout, so nothing is shuffled or sent about.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import vocab
 from ..functions.similarity import best_many, compare_text, ratio
@@ -24,8 +23,6 @@ from .pages import PATTERNS
 
 #: Least similarity of a label and its lead over the next; characters of a value at most; words of a term.
 LABEL_SCORE, LABEL_MARGIN, VALUE_CHARS, VALUE_WORDS = 0.78, 0.10, 80, 2
-#: Matches of at most this many fragments are sent to all workers.
-FEW = 100_000
 # Labels of each document type and the fields they name.
 DOCUMENT_LABELS = {
     "intake_form": {"Case ID": "case_id", "Applicant": "applicant", "Species Code": "species_code", "Home World": "home_world", "Visa Class": "visa_class", "Sponsor ID": "sponsor_id", "Arrival Date": "arrival_date", "Declared Purpose": "declared_purpose", "Purpose": "declared_purpose", "World": "home_world"},
@@ -40,7 +37,6 @@ SHAPES = {"case_id": r"(?i)\bM[I1l]B[-\s]?[0-9OoIl]{6}\b", "sponsor_id": r"(?i)\
 VOCABULARIES = {"species_code": vocab.SPECIES, "species_match": vocab.SPECIES, "home_world": vocab.HOME_WORLDS, "visa_class": vocab.VISA_CLASSES, "declared_purpose": vocab.PURPOSES, "purpose": vocab.PURPOSES, "fee_status": vocab.FEE_STATUSES, "observed_flags": vocab.RISK_FLAGS, "decision": (*vocab.DECISIONS, "REVIEW")}
 #: A page of unknown type could be any form; of labels that several types have the last type counts.
 ANY_LABELS = {label: field for labels in DOCUMENT_LABELS.values() for label, field in labels.items()}
-_KEY = "_page"
 
 
 def _labels_of(kind: Column) -> Column:
@@ -66,41 +62,30 @@ def wanted(kind: Column, found: Column) -> Column:
     return F.array_union(F.array_except(declared, F.map_keys(found)), F.array_intersect(declared, F.array(*[F.lit(f) for f in VOCABULARIES])))
 
 
-@F.pandas_udf(StringType())
-def _label(fragments: pd.Series, terms: pd.Series) -> pd.Series:
-    out = pd.Series([None] * len(fragments), dtype="object")
-    for of, rows in fragments.groupby(terms.map(tuple)).groups.items():
-        out.loc[rows] = best_many(fragments.loc[rows].tolist(), of, LABEL_SCORE, LABEL_MARGIN, compare_text)
+def _fragments(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, fragment): runs of one and two words with their places in the text, counted from 0; at a start the longer first."""
+    words = [m.span() for m in re.finditer(r"[A-Za-z][A-Za-z0-9]*", text)]
+    out = []
+    for i, (start, end) in enumerate(words):
+        if i + 1 < len(words):
+            out.append((start, words[i + 1][1], text[start : words[i + 1][1]]))
+        out.append((start, end, text[start:end]))
     return out
 
 
-def _fragments(pages: DataFrame) -> DataFrame:
-    """(_page, terms, start, end, fragment): runs of one and two words with their places in the text, counted from 0."""
-    runs = F.regexp_extract_all("text", F.lit(r"([A-Za-z][A-Za-z0-9]*|[^A-Za-z]+)"), F.lit(1))
-    rows = pages.select(_KEY, "terms", F.posexplode(runs).alias("_n", "_run"))
-    w = W.partitionBy(_KEY).orderBy("_n")
-    end = F.sum(F.length("_run")).over(w.rowsBetween(W.unboundedPreceding, 0))
-    rows = rows.withColumn("end", end).withColumn("_gap", F.lead("_run").over(w)).withColumn("_after", F.lead("_run", 2).over(w))
-    is_word = lambda c: F.coalesce(c.rlike("^[A-Za-z]"), F.lit(False))
-    start = F.col("end") - F.length("_run")
-    one = F.struct(start.alias("start"), F.col("end"), F.col("_run").alias("fragment"))
-    two = F.when(is_word(F.col("_after")), F.struct(start.alias("start"), (F.col("end") + F.length("_gap") + F.length("_after")).alias("end"), F.concat("_run", "_gap", "_after").alias("fragment")))
-    # Two words that nothing parts (a digit before a letter) are one run apart as well.
-    beside = F.when(is_word(F.col("_gap")), F.struct(start.alias("start"), (F.col("end") + F.length("_gap")).alias("end"), F.concat("_run", "_gap").alias("fragment")))
-    return rows.where(is_word(F.col("_run"))).select(_KEY, "terms", F.inline(F.array_compact(F.array(one, F.coalesce(beside, two)))))
-
-
-def _hits(pages: DataFrame) -> DataFrame:
-    """(_page, n, start, end, label): the labels of each page in order, the longest at a place, none that begins inside the one before."""
-    f = _fragments(pages)
-    near = checkpointed(f.select("fragment", "terms").distinct().withColumn("label", _label("fragment", "terms")).where("label IS NOT NULL"))
-    few = near.count() <= FEW
-    hits = f.join(near.hint("broadcast") if few else near, ["fragment", "terms"])
-    per = hits.groupBy(_KEY, "start").agg(F.max_by(F.struct("end", "label"), "end").alias("h")).select(_KEY, F.struct("start", "h.end", "h.label").alias("h"))
-    lists = per.groupBy(_KEY).agg(F.array_sort(F.collect_list("h")).alias("hits"))
-    none = F.slice("hits", 1, 0)
-    kept = F.aggregate("hits", none, lambda acc, h: F.when((F.size(acc) == 0) | (h["start"] >= F.element_at(acc, -1)["end"]), F.array_append(acc, h)).otherwise(acc))
-    return lists.select(_KEY, F.posexplode(kept).alias("n", "h")).select(_KEY, "n", "h.*")
+def _labels(fragments: set[str], terms: tuple[str, ...]) -> dict[str, str]:
+    """Fragment to the label that it reads like, of those that read like one."""
+    known = list(fragments)
+    return {f: label for f, label in zip(known, best_many(known, terms, LABEL_SCORE, LABEL_MARGIN, compare_text), strict=True) if label}
+
+
+def _hits(fragments: list[tuple[int, int, str]], labels: dict[str, str]) -> list[tuple[int, int, str]]:
+    """(start, end, label): the labels of a page in order, the longest at a place, none that begins inside the one before."""
+    kept: list[tuple[int, int, str]] = []
+    for start, end, fragment in fragments:
+        if fragment in labels and (not kept or start >= kept[-1][1]):
+            kept.append((start, end, labels[fragment]))
+    return kept
 
 
 def _terms(windows: list[str], vocabulary: tuple[str, ...]) -> list[str | None]:
@@ -116,12 +101,29 @@ def _terms(windows: list[str], vocabulary: tuple[str, ...]) -> list[str | None]:
     return [max(f, key=lambda x: x[0])[1] if f else None for f in found]
 
 
-@F.pandas_udf(StringType())
-def _vocabulary_value(fields: pd.Series, windows: pd.Series) -> pd.Series:
-    out = pd.Series([None] * len(fields), dtype="object")
-    for field, rows in windows.groupby(fields).groups.items():
-        out.loc[rows] = _terms(windows.loc[rows].tolist(), VOCABULARIES[field])
-    return out
+@F.pandas_udf(ArrayType(StructType([StructField("field", StringType()), StructField("window", StringType()), StructField("term", StringType())])))
+def _behind_labels(texts: pd.Series, labels: pd.Series) -> pd.Series:
+    """What stands behind the labels of each page, in order: its field, its text, and the term that it reads like.
+
+    Labels are written (label, field, label, field, ...). Each distinct fragment and window of a batch is compared once.
+    """
+    written, chosen = texts.tolist(), [tuple(x) for x in labels]
+    pieces = [_fragments(text) for text in written]
+    distinct: dict[tuple, set[str]] = {}
+    for of, found in zip(chosen, pieces, strict=True):
+        distinct.setdefault(of, set()).update(f for _, _, f in found)
+    read = {of: _labels(found, of[::2]) for of, found in distinct.items()}
+    pages, windows = [], {}
+    for text, of, found in zip(written, chosen, pieces, strict=True):
+        hits, fields, page = _hits(found, read[of]), dict(zip(of[::2], of[1::2], strict=True)), []
+        for i, (_, end, label) in enumerate(hits):
+            stop = min(hits[i + 1][0] if i + 1 < len(hits) else len(text), end + VALUE_CHARS)
+            page.append((fields[label], text[end:stop]))
+            windows.setdefault(fields[label], {})[text[end:stop]] = None
+        pages.append(page)
+    for field in windows.keys() & VOCABULARIES.keys():
+        windows[field] = dict(zip(windows[field], _terms(list(windows[field]), VOCABULARIES[field]), strict=True))
+    return pd.Series([[{"field": f, "window": w, "term": windows[f][w]} for f, w in page] for page in pages], dtype="object")
 
 
 def _free(window: Column) -> Column:
@@ -130,28 +132,28 @@ def _free(window: Column) -> Column:
     return given(F.regexp_replace(body, r"(?s)(?:\s{3,}|[|\\(\[]|[—_]{2,}).*$", ""))
 
 
-def fields_by_labels(pages: DataFrame) -> DataFrame:
-    """(_page, loose): field to value by labels; the first label of a field that has a value counts.
+def behind_labels(text: Column, kind: Column, wanted: Column) -> Column:
+    """Field to value by labels; the first label of a field that has a value counts. An empty ``wanted`` stands for all fields."""
+    labels = _labels_of(kind)
+    chosen = F.when(F.size(wanted) > 0, F.map_filter(labels, lambda k, v: F.array_contains(wanted, v))).otherwise(labels)
+    flat = F.flatten(F.transform(F.map_entries(chosen), lambda e: F.array(e["key"], e["value"])))
 
-    ``pages`` is (_page, text, kind, wanted); an empty ``wanted`` stands for all fields.
-    """
-    labels = _labels_of(F.col("kind"))
-    chosen = F.when(F.size("wanted") > 0, F.map_filter(labels, lambda k, v: F.array_contains(F.col("wanted"), v))).otherwise(labels)
-    p = pages.withColumn("labels", chosen).withColumn("terms", F.map_keys("labels")).where((F.size("terms") > 0) & (F.coalesce("text", F.lit("")) != ""))
-    order = W.partitionBy(_KEY).orderBy("n")
-    hits = _hits(p.select(_KEY, "text", "terms")).withColumn("next", F.lead("start").over(order))
-    h = hits.join(p.select(_KEY, "text", "labels"), _KEY).withColumn("field", F.try_element_at("labels", F.col("label")))
-    stop = F.least(F.coalesce("next", F.length("text")), F.col("end") + VALUE_CHARS)
-    h = checkpointed(h.select(_KEY, "n", "field", F.substr("text", (F.col("end") + 1).cast("int"), (stop - F.col("end")).cast("int")).alias("window")))
-    terms = h.where(F.col("field").isin(*VOCABULARIES)).select("field", "window").distinct().withColumn("term", _vocabulary_value("field", "window"))
-    h = h.join(terms, ["field", "window"], "left")
-    value = None
-    for field, shape in SHAPES.items():
-        found = given(F.regexp_extract("window", shape, 0))
-        value = F.when(F.col("field") == field, found) if value is None else value.when(F.col("field") == field, found)
-    value = value.when(F.col("field").isin(*VOCABULARIES), F.col("term")).otherwise(_free(F.col("window")))
-    first = h.withColumn("value", value).where("value IS NOT NULL").groupBy(_KEY, "field").agg(F.min_by("value", "n").alias("value"))
-    return first.groupBy(_KEY).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("loose"))
+    def entry(h: Column) -> Column:
+        field, window, value = h["field"], h["window"], None
+        for name, shape in SHAPES.items():
+            found = given(F.regexp_extract(window, shape, 0))
+            value = F.when(field == name, found) if value is None else value.when(field == name, found)
+        return F.struct(field.alias("key"), value.when(field.isin(*VOCABULARIES), h["term"]).otherwise(_free(window)).alias("value"))
+
+    found = F.filter(F.transform(_behind_labels(F.coalesce(text, F.lit("")), flat), entry), lambda e: e["value"].isNotNull())
+    first = lambda m, e: F.when(F.map_contains_key(m, e["key"]), m).otherwise(F.map_concat(m, F.map_from_arrays(F.array(e["key"]), F.array(e["value"]))))
+    return F.aggregate(found, F.create_map().cast("map<string,string>"), first)
+
+
+def fields_by_labels(pages: DataFrame) -> DataFrame:
+    """(_page, loose) of the pages (_page, text, kind, wanted) that have such fields."""
+    p = pages.select("_page", behind_labels(F.col("text"), F.col("kind"), F.col("wanted")).alias("loose"))
+    return p.where(F.size("loose") > 0)
 
 
 def completed(pages: DataFrame, kind: str = "document_type", text: str = "text", found: str = "found") -> DataFrame:
@@ -160,8 +162,8 @@ def completed(pages: DataFrame, kind: str = "document_type", text: str = "text",
     Missing fields are filled; a field with a vocabulary takes an exact term in place
     of what the patterns found. One term never takes the place of a list of flags.
     """
-    p = checkpointed(pages.withColumn(_KEY, F.monotonically_increasing_id()))
-    loose = fields_by_labels(p.select(_KEY, F.col(text).alias("text"), F.col(kind).alias("kind"), wanted(F.col(kind), F.col(found)).alias("wanted")))
+    # Written down, or the optimizer would search each page once for every use of its fields.
+    p = checkpointed(pages.withColumn("loose", behind_labels(F.col(text), F.col(kind), wanted(F.col(kind), F.col(found)))))
     terms = F.create_map(*[x for f, v in VOCABULARIES.items() for x in (F.lit(f), F.array(*[F.lit(t) for t in v]))])
     have = F.col(found)
 
@@ -170,5 +172,5 @@ def completed(pages: DataFrame, kind: str = "document_type", text: str = "text",
         listed = (field == "observed_flags") & F.contains(F.try_element_at(have, field), F.lit("|"))
         return ~F.map_contains_key(have, field) | (exact & ~F.coalesce(listed, F.lit(False)))
 
-    p = p.join(loose, _KEY, "left").withColumn("_new", F.map_filter(F.coalesce("loose", F.create_map().cast("map<string,string>")), taken))
-    return p.withColumn(found, F.map_concat(F.map_filter(have, lambda k, v: ~F.map_contains_key(F.col("_new"), k)), F.col("_new"))).drop(_KEY, "loose", "_new")
+    p = p.withColumn("_new", F.map_filter("loose", taken))
+    return p.withColumn(found, F.map_concat(F.map_filter(have, lambda k, v: ~F.map_contains_key(F.col("_new"), k)), F.col("_new"))).drop("loose", "_new")

@@ -237,3 +237,12 @@ def test_files_and_text_layers(spark, tmp_path):
 
 def test_counts_of_nothing(spark):
     assert tuple(evaluate.index_counts(spark.createDataFrame([], "k string"), "k").first()) == (0, 0, 0, 0)
+
+
+def test_pages_stay_rows_while_labels_are_searched(spark):
+    text = F.concat(F.lit("Foe Status: paid Case ID: MIB-"), F.lpad(F.col("id").cast("string"), 6, "0"), F.lit(" Fee Status: waived"))
+    p = spark.range(50).select(F.col("id").alias("_page"), text.alias("text"), F.lit("fee_receipt").alias("kind"), F.array(F.lit("fee_status"), F.lit("case_id")).alias("wanted"))
+    found = labelled.fields_by_labels(p)
+    assert {r._page: r.loose for r in found.collect()} == {i: {"fee_status": "paid", "case_id": f"MIB-{i:06d}"} for i in range(50)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
