@@ -538,7 +538,9 @@ def packet_pages(s, sf) -> DataFrame:
     intake = F.concat(F.lit("MIB Intake Form Case ID: "), case, F.lit(" Applicant: Zed Quill Species Code: "), _damaged(k, "ORION_GRAYS", "ORI0N_GRAYS"), _damaged(k, " Home World: ", " Home Workt: "), _damaged(k, "Titan Freeport", "Tit\u00e1n FreepQrt"), F.lit(" Visa Class: "), visa, F.lit(" Sponsor ID: "), sponsor, F.lit(" Arrival Date: 2026-05-01 Declared Purpose: field repair Packet "), case, F.lit(" / page 1"))
     fee = F.concat(F.lit("MIB Fee Receipt Case ID: "), case, _damaged(k, " Fee Status: paid", " Foe Status: paid"), F.lit(" Amount: $"), F.when(k % 3 == 0, "0").otherwise("120.00"), F.lit(" Waiver Code: "), F.when(k % 6 == 0, "DIP-WAIVER").otherwise("N/A"))
     slip = F.concat(F.lit("Biometric Scan Slip Case ID: "), case, _damaged(k, "", " Applicant: (NAME CUT OLIT]"), F.lit(" Species Match: ORION_GRAYS Biometric confidence: 91% Observed flags: "), flags)
-    rows = t(s, sf, "orders").select(case.alias("case_id"), F.posexplode(F.array(intake, fee, slip)).alias("page_number", "text"))
+    # Dealt over all cores, since few bytes make many pages. Told apart by the order's key: a written id has room for six digits.
+    orders = t(s, sf, "orders").select("o_orderkey", "o_custkey").repartition(int(s.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
+    rows = orders.select(k.cast("string").alias("case_id"), F.posexplode(F.array(intake, fee, slip)).alias("page_number", "text"))
     return rows.withColumn("text_source", F.lit("native_text"))
 
 
@@ -551,7 +553,7 @@ SELECT 'MIB-' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS case_id,
   CAST(CASE rule WHEN 'disqualifying' THEN 0.93 WHEN 'transit' THEN 0.92 WHEN 'revoked' THEN 0.76 WHEN 'review' THEN 0.76 ELSE 0.82 END AS DOUBLE) AS confidence FROM r""")
 def _(s, sf):
     p = packet_pages(s, sf)
-    return predict.predicted(p, p)
+    return predict.predicted(p, p).withColumn("case_id", F.concat(F.lit("MIB-"), F.lpad((F.col("case_id").cast("bigint") % 1000000).cast("string"), 6, "0")))
 
 
 @query("prediction_fallback", "SELECT 'MIB-' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS case_id, 'NEEDS_REVIEW' AS adjudication, 'SPN-0000' AS sponsor_id, CAST(0.4 AS DOUBLE) AS confidence FROM part")

@@ -65,10 +65,16 @@ def long_keys(spark, tmp_path_factory):
     return str(sf), con
 
 
-@pytest.mark.parametrize("name", ["error_rows", "flag_combinations", "flag_rows", "name_outlier_flags"])
+@pytest.mark.parametrize("name", ["error_rows", "flag_combinations", "flag_rows", "name_outlier_flags", "predict_cases"])
 def test_long_keys_stay_apart(spark, long_keys, name):
     sf, con = long_keys
     df, found = QUERIES[name](spark, sf), con.execute(SQL[name])
     names = [d[0] for d in found.description]
     same = sorted(tuple(plain(r[c]) for c in names) for r in df.collect()) == sorted(tuple(map(plain, r)) for r in found.fetchall())
     assert same, "the rows differ"  # not compared in the assertion, which would take minutes to show them
+
+
+def test_pages_are_dealt_over_all_cores(spark):
+    from caseloom.plans.queries import packet_pages
+
+    assert packet_pages(spark, SF).select("text").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
